@@ -92,10 +92,8 @@ def shingle_sets(texts: list[str | None], k: int, seed: int = 0) -> Iterator[np.
             if m >= k:
                 yield np.unique(rolled[lo : hi - k + 1])
             elif m:
-                short = U64(m)
-                for j in range(m):
-                    short = short + words[lo + j] * coef[j]
-                yield mix(np.array([short ^ U64(0x5851F42D4C957F2D)], U64))
+                short = (words[lo:hi] * coef[:m]).sum(dtype=U64, keepdims=True)
+                yield mix((short + U64(m)) ^ U64(0x5851F42D4C957F2D))
             else:
                 yield np.zeros(0, U64)
             lo = hi
