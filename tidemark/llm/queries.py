@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, jaccard_join, langid, licences, quality, urls
+from . import decontaminate, fingerprints, jaccard_join, langid, licences, quality, repeats, urls
 from .bpe import encode
 
 
@@ -20,6 +20,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs))
@@ -53,6 +57,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_repeats": op2_repeats,
     "op3_langid": op3_langid,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
