@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, jaccard_join, langid, licences, quality, repeats, urls
+from . import decontaminate, fingerprints, jaccard_join, langid, licences, lines, quality, repeats, urls
 from .bpe import encode
 
 
@@ -51,6 +52,11 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard": op6_jaccard,
     "op7_fingerprints": op7_fingerprints,
     "op8_licences": op8_licences,
+    "op9_lines": op9_lines,
     "op10_urls": op10_urls,
 }
 ORACLE: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE}
