@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import filings, records
+
+_PARTS = (filings, records)
+QUERIES: dict = {k: v for m in _PARTS for k, v in m.QUERIES.items()}
+ORACLE: dict = {k: v for m in _PARTS for k, v in m.ORACLE.items()}
