@@ -93,7 +93,8 @@ def missing_zero(price: Column, ref: Column, x10=(8.0, 15.0), x100=(80.0, 150.0)
 
 def price_band(ref: Column, share: float = 0.15) -> Column:
     """struct<low, high> around a reference, low at least 0."""
-    return F.when(ref.isNotNull(), F.struct(F.greatest(F.lit(0.0), F.round(ref * (1 - share), 2)).alias("low"), F.round(ref * (1 + share), 2).alias("high")))
+    cents = lambda x: F.round(x.cast("decimal(30,6)"), 2).cast("double")
+    return F.when(ref.isNotNull(), F.struct(F.greatest(F.lit(0.0), cents(ref * (1 - share))).alias("low"), cents(ref * (1 + share)).alias("high")))
 
 
 def close_percent(a: Column, b: Column, tolerance: float = 1e-5) -> Column:

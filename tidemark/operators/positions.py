@@ -41,7 +41,7 @@ def net_position(tx: DataFrame, key: str) -> DataFrame:
     return sums.select(
         key,
         F.when(~trades, "others").when(F.col("net_value") > 0, "buy").when(F.col("net_value") < 0, "sell").otherwise("others").alias("net_type"),
-        F.round(price, 3).alias("net_price"),
+        F.round(price.cast("decimal(30,6)"), 3).cast("double").alias("net_price"),
         F.abs(F.when(trades, F.col("net_value")).otherwise(F.coalesce("other_value", F.lit(0.0)))).cast("long").alias("net_value"),
         F.abs(F.when(trades, F.col("net_amount")).otherwise(F.coalesce("other_amount", F.lit(0.0)))).cast("long").alias("net_shares"),
     )

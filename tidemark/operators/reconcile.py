@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,32 +59,53 @@ def fifo_dates(stored: DataFrame, source: DataFrame, bucket: list[str], order: l
     return left.join(right, on, "left").select(*[left[c] for c in stored.columns if c != date], F.coalesce(left[date], right["__d"]).alias(date))
 
 
+def _consume(stored: list[tuple], left: list[tuple]) -> list[tuple]:
+    """Rows (pos, type, price, amount, date) with dates of the source rows (type, price, amount, date) that they use up."""
+    out = [list(r) for r in stored]
+    for typed in (True, False):
+        for row in out:
+            known = row[1] not in (None, "", "unknown")
+            if row[4] is not None or known != typed:
+                continue
+            at = next((j for j, (t, p, m, _) in enumerate(left) if p == row[2] and m == row[3] and (not known or t == row[1])), None)
+            if at is not None:
+                t, _, _, row[4] = left.pop(at)
+                row[1] = row[1] if known else t
+    return [tuple(r) for r in out]
+
+
 def fifo_wildcard(stored: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Like `fifo_dates` within a filing, but a stored row of unknown type may take any leftover of its price and amount.
 
-    Consumption is sequential, so it runs a filing at a time; `key, pos, type, price, amount, date` on both sides.
+    Consumption is sequential, so each filing's rows are walked in order within a
+    sorted partition; `key, pos, type, price, amount, date` on both sides. A filing
+    has few rows; one at a time is held.
     """
-
-    def match(k, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        left = [list(r) for r in b.sort_values("pos")[["type", "price", "amount", "date"]].itertuples(index=False)]
-        out = a.sort_values("pos").copy()
-        for typed in (True, False):
-            for i in out.index[out["date"].isna()]:
-                row = out.loc[i]
-                known = isinstance(row["type"], str) and row["type"] not in ("", "unknown")
-                if typed != known:
-                    continue
-                for j, (t, p, m, d) in enumerate(left):
-                    if p == row["price"] and m == row["amount"] and (not known or t == row["type"]):
-                        out.loc[i, "date"] = d
-                        if not known:
-                            out.loc[i, "type"] = t
-                        del left[j]
-                        break
-        return out[[key, "pos", "type", "price", "amount", "date"]]
-
     cols = [key, "pos", "type", "price", "amount", "date"]
-    return stored.select(*cols).groupBy(key).cogroup(source.select(*cols).groupBy(key)).applyInPandas(match, stored.select(*cols).schema)
+    both = source.select(*cols).withColumn("__stored", F.lit(False)).unionByName(stored.select(*cols).withColumn("__stored", F.lit(True)))
+    rows = both.repartition(F.col(key)).sortWithinPartitions(key, "__stored", "pos").select(*cols, "__stored")
+
+    def run(batches):
+        import pyarrow as pa
+
+        at, left, mine = None, [], []
+        for batch in batches:
+            out = []
+            for k, *row, is_stored in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if k != at:
+                    out += [(at, *r) for r in _consume(mine, left)]
+                    at, left, mine = k, [], []
+                if is_stored:
+                    mine.append(tuple(row))
+                else:
+                    left.append(tuple(row[1:]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(i).type) for i, c in enumerate(zip(*out, strict=True))] if out else [pa.array([], f.type) for f in list(batch.schema)[:6]], cols)
+            kinds = [f.type for f in list(batch.schema)[:6]]
+        if mine:
+            out = [(at, *r) for r in _consume(mine, left)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], cols)
+
+    return rows.mapInArrow(run, stored.select(*cols).schema)
 
 
 def multiset(rows: DataFrame, *key: str) -> DataFrame:

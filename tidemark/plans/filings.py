@@ -35,7 +35,7 @@ def filing_wap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {TX}, s AS (SELECT filing_id, CAST(coalesce(sum(value) FILTER (type='buy'),0) - coalesce(sum(value) FILTER (type='sell'),0) AS DOUBLE) AS nv,
  CAST(coalesce(sum(amount) FILTER (type='buy'),0) - coalesce(sum(amount) FILTER (type='sell'),0) AS DOUBLE) AS na, CAST(sum(value) FILTER (type='others') AS DOUBLE) AS ov, CAST(sum(amount) FILTER (type='others') AS DOUBLE) AS oa, bool_or(type IN ('buy','sell')) AS t FROM tx GROUP BY filing_id)
  SELECT filing_id, CASE WHEN NOT t THEN 'others' WHEN nv > 0 THEN 'buy' WHEN nv < 0 THEN 'sell' ELSE 'others' END AS net_type,
- CAST(round(CAST(CASE WHEN t THEN CASE WHEN na = 0 THEN 0.0 ELSE abs(nv / na) END ELSE coalesce(ov / nullif(oa, 0), 0.0) END AS DECIMAL(30,10)), 3) AS DOUBLE) AS net_price,
+ CAST(round(CAST(CASE WHEN t THEN CASE WHEN na = 0 THEN 0.0 ELSE abs(nv / na) END ELSE coalesce(ov / nullif(oa, 0), 0.0) END AS DECIMAL(30,6)), 3) AS DOUBLE) AS net_price,
  CAST(trunc(abs(CASE WHEN t THEN nv ELSE coalesce(ov, 0) END)) AS BIGINT) AS net_value, CAST(abs(CASE WHEN t THEN na ELSE coalesce(oa, 0) END) AS BIGINT) AS net_shares FROM s""")
 def filing_net_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions.net_position(transactions(spark, sf_dir), "filing_id")
@@ -156,7 +156,7 @@ def filing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(first, "filing_id").orderBy(F.desc("total_value"), "filing_id").limit(20)
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name AS company_name, lower(regexp_replace(n_name, '[^A-Za-z0-9]+', '-', 'g')) AS sector, coalesce(lower(r_name), 'unknown') AS sub_sector
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name AS company_name, lower(regexp_replace(n_name, '[^A-Za-z0-9]+', '-', 'g')) AS sector, coalesce(lower(regexp_replace(r_name, '[^A-Za-z0-9]+', '-', 'g')), 'unknown') AS sub_sector
  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem) LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def company_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
