@@ -17,8 +17,13 @@ def stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def _timed(rows: DataFrame, time: str) -> DataFrame:
+    """Watermarks need an instant; a wall-clock time is taken in the session's zone."""
+    return rows.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def deduplicated(rows: DataFrame, time: str, keys: list[str], look_back: str = LOOK_BACK) -> DataFrame:
-    return rows.withWatermark(time, look_back).dropDuplicatesWithinWatermark(keys)
+    return _timed(rows, time).withWatermark(time, look_back).dropDuplicatesWithinWatermark(keys)
 
 
 def write_new(rows: DataFrame, keys: list[str], sink: str, checkpoint: str) -> StreamingQuery:
@@ -39,10 +44,10 @@ def write_new(rows: DataFrame, keys: list[str], sink: str, checkpoint: str) -> S
 def windows(rows: DataFrame, time: str, keys: list[str], value: str, length: str = "1 hour", slide: str | None = None, look_back: str = LOOK_BACK) -> DataFrame:
     """Counts and sums by event-time window (an extension); works on batches and streams."""
     w = F.window(time, length, slide) if slide else F.window(time, length)
-    return rows.withWatermark(time, look_back).groupBy(w.alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", "total")
+    return _timed(rows, time).withWatermark(time, look_back).groupBy(w.alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", "total")
 
 
 def sessions(rows: DataFrame, time: str, key: str, gap: str = "30 minutes", look_back: str = LOOK_BACK) -> DataFrame:
     """Sessions of a key by the gap between its events (an extension)."""
     w = F.session_window(time, gap)
-    return rows.withWatermark(time, look_back).groupBy(w.alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n")
+    return _timed(rows, time).withWatermark(time, look_back).groupBy(w.alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n")
