@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, fingerprints, jaccard_join, langid, licences, lines, quality, repeats, urls
 from .bpe import encode
+from .oracle import ORACLE as ORACLE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,4 +74,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lines": op9_lines,
     "op10_urls": op10_urls,
 }
-ORACLE: dict[str, str] = {"op4_decontaminate": decontaminate.ORACLE}
