@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Table, release
-from .shingles import U64, mix, shingle_sets
+from .shingles import U64, mix, shingle_sets, slices
 
 WORDS = 4
 #: Jaccard threshold in hundredths.
@@ -44,7 +44,7 @@ FREQUENT = 64
 
 def _extra(n: int) -> int:
     """Common tokens looked for in the extended prefix of a set of n; never falls with n."""
-    return 1 + n // 50
+    return 1 + n // 12
 
 
 def _loss(n: int, percent: int) -> int:
@@ -55,7 +55,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """`doc_id, n, s1, s2, least, prefix`: size, signature, tokens wanted in other classes, and the extended prefix of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, s1, s2, least, prefix = [], [], [], [], []
             for s in shingle_sets(batch.column(1).to_pylist(), words):
                 m = len(s)
@@ -71,7 +71,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _tokens(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column(1).to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "tokens"])
 
@@ -85,7 +85,7 @@ def _signatures(ordered: DataFrame, percent: int, frequent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             flat = batch.column(2).flatten()
             df, h = flat.field(0).to_numpy(), flat.field(1).to_numpy().view(U64)
             offs = batch.column(2).offsets.to_numpy() - batch.column(2).offsets[0].as_py()

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U64 = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _MULT = U64(0x9E3779B97F4A7C15)
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 #: Powers of an odd number: a byte's weight by its place in its word; places beyond the table wrap.
@@ -58,6 +58,13 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix(h + (ends - starts).astype(U64))
 
 
+def slices(batches: Iterator, rows: int = 500) -> Iterator:
+    """Arrow batches cut to fewer rows, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive whole texts of about `limit` bytes together."""
     first, held, size = 0, [], 0
