@@ -88,7 +88,7 @@ def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def near_earlier(lines: Table, edits: int = EDITS) -> DataFrame:
+def near_earlier(lines: Table, edits: int = EDITS) -> Table:
     """`id` of each distinct line (`line, id, n`) that has another one with a smaller id within `edits` edits."""
     long = lines.df.select("id", "line", "n")
     index = long.select(F.explode(index_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("id").alias("x"))
@@ -102,7 +102,10 @@ def near_earlier(lines: Table, edits: int = EDITS) -> DataFrame:
     small = F.broadcast if left.small() else (lambda d: d)
     both = small(left.df).join(long.select(F.col("id").alias("y"), F.col("line").alias("b")), "y")
     near = both.select("x", "y", chars(F.col("a")).alias("a"), chars(F.col("b")).alias("b")).where(within(F.col("a"), F.col("b"), edits))
-    return near.select(F.greatest("x", "y").alias("id")).distinct()
+    gone = Table(near.select(F.greatest("x", "y").alias("id")).distinct(), "near")
+    pairs.drop()
+    left.drop()
+    return gone
 
 
 def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -121,10 +124,13 @@ def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -
     distinct = place.groupBy("line").agg(F.min(ident).alias("id")).withColumn("n", F.length("line"))
     lines = Table(distinct, "lines")
     release(spark)
-    gone = Table(near_earlier(lines, edits), "near")
+    gone = near_earlier(lines, edits)
     release(spark)
     kept = lines.df.select("id").join(F.broadcast(gone.df) if gone.small() else gone.df, "id", "left_anti")
-    kept = kept.groupBy(F.col("id.doc").alias("__doc"), F.col("id.tag").alias("__of")).agg(F.collect_set("id.p").alias("__kept"))
+    kept = Table(kept.groupBy(F.col("id.doc").alias("__doc"), F.col("id.tag").alias("__of")).agg(F.collect_set("id.p").alias("__kept")), "kept").df
+    lines.drop()
+    gone.drop()
+    release(spark)
     out = base.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__tag") == F.col("__of")), "left")
     out = out.withColumn("__lines", split_lines(F.col("text")))
     every = F.sequence(F.lit(0), F.size("__lines") - 1)
