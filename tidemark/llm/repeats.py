@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Table, release
-from .shingles import U64, chunks, mix
+from .shingles import U64, chunks, mix, slices
 
 LENGTH = 200
 GRAM = 96
@@ -38,7 +38,7 @@ GRAM = 96
 HOT = 4096
 PIECE = 16
 #: Bytes of distinct segments that one index holds.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _B = U64(0x9E3779B97F4A7C15)
 _PLACE = 30  # bits of a place in a chunk
 
@@ -108,17 +108,23 @@ class RunIndex:
         key = pad[:n]
         for j in range(1, step):
             key = key * U64(base) + pad[j : n + j]
+        order = np.argsort(key)
+        rank = np.empty(n, np.int64)  # the first row of those with the same prefix of `width` symbols
+        rows, part = np.arange(n), key[order]
         levels, width = [], step
         while True:
-            order = np.argsort(key, kind="stable")
-            sorted_key = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate(([0], np.cumsum(sorted_key[1:] != sorted_key[:-1])))
-            if rank[order[-1]] == n - 1:
+            head = np.concatenate(([True], part[1:] != part[:-1]))
+            rank[order[rows]] = rows[np.maximum.accumulate(np.where(head, np.arange(len(rows)), 0))]
+            alone = head & np.concatenate((head[1:], [True]))
+            rows = rows[~alone]
+            if not len(rows):
                 break
             levels.append((width, rank.astype(np.int32)))
-            key = (rank * (n + 1)).astype(U64)
-            key[: n - width] += (rank[width:] + 1).astype(U64)
+            at = order[rows]  # only what is still alike is sorted on
+            after = np.where(at + width < n, rank[np.minimum(at + width, n - 1)] + 1, 0)
+            part = rank[at] * (n + 1) + after
+            by = np.argsort(part)
+            order[rows], part = at[by], part[by]
             width *= 2
         before = sym[order - 1]
         cut = np.flatnonzero(before[1:] != before[:-1]) + 1
@@ -174,6 +180,21 @@ def _digest(b: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little", signed=True)
 
 
+_INVERSE = pow(int(_B), -1, 1 << 64)
+
+
+def _span_digests(b: bytes, lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit digests of stretches of a text, each by two prefix sums."""
+    up = np.full(len(b), _B, U64)
+    up[0] = 1
+    down = np.full(int(lo.max()) + 1, _INVERSE, U64)
+    down[0] = 1
+    sums = np.zeros(len(b) + 1, U64)
+    np.cumsum(mix(np.frombuffer(b, np.uint8).astype(U64) + U64(1)) * np.multiply.accumulate(up), out=sums[1:])
+    down = np.multiply.accumulate(down)
+    return mix((sums[lo + size] - sums[lo]) * down[lo] + size.astype(U64))
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edge = np.flatnonzero(np.diff(flags, prepend=False, append=False))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
@@ -181,7 +202,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _anchors(src: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = [x for _, held in chunks(batch.column(2).to_pylist()) for x in anchors(held)]
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([x[i] for x in got], pa.list_(k)) for i, k in enumerate(kinds)]], ["id", "tag", "h", "spot", "first", "n"])
@@ -190,36 +211,38 @@ def _anchors(src: DataFrame) -> DataFrame:
 
 
 def _segments(rows: DataFrame) -> DataFrame:
-    """`h, d, first, n, id, tag, seg` from texts with their repeated anchors; the bytes come once for each (h, d) of a task."""
+    """`h, d, first, n, id, tag, seg` from `id, tag, text` and arrays `h, spot, first, n, hot`; the bytes come once for each (h, d) of a task, or more often."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    names = ["h", "d", "first", "n", "id", "tag", "seg"]
+
+    def of(text: str, h: np.ndarray, spot: np.ndarray, first: np.ndarray, n: np.ndarray, hot: np.ndarray, seen: set):
+        b = text.encode("utf-8", "surrogatepass")
+        if hot.any():
+            cut = [p for a in zip(h[hot].tolist(), spot[hot].tolist(), first[hot].tolist(), n[hot].tolist(), strict=True) for p in _pieces(b, *a)]
+            more = [np.array(c, np.int64) for c in zip(*cut, strict=True)]
+            h, first, n = (np.concatenate((x[~hot], y)) for x, y in zip((h, first, n), more, strict=True))
+        d = _span_digests(b, first, n + LENGTH - 1).view(np.int64)
+        segs: list[bytes | None] = [None] * len(h)
+        for i, key in enumerate((h * 3 ^ d).tolist()):
+            if key not in seen:
+                seen.add(key)
+                segs[i] = b[first[i] : first[i] + n[i] + LENGTH - 1]
+        return h, d, first, n, segs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [], [])
-            size = 0
-            for ident, tag, text, found in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                b = text.encode("utf-8", "surrogatepass")
-                for a in found:
-                    h, spot, first, n = a["h"], a["spot"], a["first"], a["n"]
-                    for key, lo, m in _pieces(b, h, spot, first, n) if a["hot"] else ((h, first, n),):
-                        seg = b[lo : lo + m + LENGTH - 1]
-                        d = _digest(seg)
-                        fresh = (key, d) not in seen
-                        if fresh:
-                            if len(seen) > 500_000:
-                                seen.clear()
-                            seen.add((key, d))
-                            size += len(seg)
-                        for col, v in zip(out, (key, d, lo, m, ident, tag, seg if fresh else None), strict=True):
-                            col.append(v)
-                if size > 8 << 20 or len(out[0]) > 100_000:
-                    yield _batch(out)
-                    out, size = ([], [], [], [], [], [], []), 0
-            yield _batch(out)
-
-    def _batch(out: tuple[list, ...]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["h", "d", "first", "n", "id", "tag", "seg"])
+        seen: set[int] = set()
+        for batch in slices(batches, 200):
+            out: list[tuple] = []
+            arrays = [batch.column(i) for i in range(3, 8)]
+            for r, (ident, tag, text) in enumerate(zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)):
+                h, spot, first, n, hot = (a[r].values.to_numpy(zero_copy_only=False) for a in arrays)
+                if len(seen) > 400_000:
+                    seen.clear()
+                got = of(text, h, spot.astype(np.int64), first.astype(np.int64), n.astype(np.int64), hot.astype(bool), seen)
+                out.append((*got[:4], [ident] * len(got[0]), [tag] * len(got[0]), got[4]))
+            if out:
+                cols = [np.concatenate([o[i] for o in out]) for i in range(4)] + [[v for o in out for v in o[i]] for i in range(4, 7)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     return rows.mapInArrow(run, "h bigint, d bigint, first int, n int, id bigint, tag bigint, seg binary")
 
@@ -262,14 +285,14 @@ def _marked(groups: DataFrame) -> DataFrame:
 
 def _cut(rows: DataFrame, keep_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
-            for ident, text, spans in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for r, (ident, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 b = text.encode("utf-8", "surrogatepass")
                 gone = np.zeros(len(b) + 1, np.int32)
-                for s in spans or ():
-                    gone[s["lo"]] += 1
-                    gone[s["hi"] + LENGTH - 1] -= 1
+                if batch.column(2)[r].is_valid:
+                    np.add.at(gone, batch.column(2)[r].values.to_numpy(), 1)
+                    np.add.at(gone, batch.column(3)[r].values.to_numpy() + (LENGTH - 1), -1)
                 runs = _runs(np.cumsum(gone)[:-1] > 0)
                 kept, at = [], 0
                 for lo, hi in runs:
@@ -299,26 +322,22 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     counts = found.df.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     each = found.df.select("id", "tag", F.explode(F.arrays_zip("h", "spot", "first", "n")).alias("a"))
     each = each.select("id", "tag", "a.h", "a.spot", "a.first", "a.n").join(counts.select("h", (F.col("c") > HOT).alias("hot")), "h")
-    # rows equal in id and text share a tag: their anchors are kept apart by count, below
-    per_doc = Table(each.groupBy("id", "tag").agg(F.collect_set(F.struct("h", "spot", "first", "n", "hot")).alias("found")), "repeated")
+    # rows equal in id and text share a tag; both are counted, and both get the marks
+    per_doc = each.groupBy("id", "tag").agg(F.collect_set(F.struct("h", "spot", "first", "n", "hot")).alias("f"))
+    per_doc = Table(per_doc.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), *[F.col(f"f.{c}").alias(c) for c in ("h", "spot", "first", "n", "hot")]), "repeated")
     found.drop()
-    release(docs.sparkSession)
-    texts = long.withColumnRenamed("id", "__id")
-    rows = texts.join(F.broadcast(per_doc.df) if per_doc.small() else per_doc.df, (F.col("id").eqNullSafe(F.col("__id"))) & (per_doc.df["tag"] == texts["tag"]))
-    seen = Table(_segments(rows.select("id", texts["tag"], "text", "found")), "segments")
+    same = (F.col("tag") == F.col("__tag")) & F.col("id").eqNullSafe(F.col("__id"))
+    rows = long.join(per_doc.df, same).select("id", "tag", "text", "h", "spot", "first", "n", "hot")
+    seen = Table(_segments(rows), "segments")
     per_doc.drop()
-    release(docs.sparkSession)
     groups = seen.df.groupBy("h", "d").agg(F.count("*").alias("c"), F.first("seg", ignorenulls=True).alias("seg"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = Table(_marked(groups.repartition(n, "h").sortWithinPartitions("h")), "marks")
-    release(docs.sparkSession)
-    spans = seen.df.select("h", "d", "first", "id", "tag").join(marked.df, ["h", "d"]).select("id", "tag", F.transform("spans", lambda s: F.struct((s.lo + F.col("first")).alias("lo"), (s.hi + F.col("first")).alias("hi"))).alias("s"))
-    spans = Table(spans.groupBy("id", "tag").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("spans")), "spans")
+    spans = seen.df.select("h", "d", "first", "id", "tag").join(marked.df, ["h", "d"]).select("id", "tag", "first", F.explode("spans").alias("s"))
+    spans = spans.groupBy(F.col("id").alias("__id"), F.col("tag").alias("__tag")).agg(F.collect_list(F.struct((F.col("s.lo") + F.col("first")).alias("lo"), (F.col("s.hi") + F.col("first")).alias("hi"))).alias("s"))
+    spans = Table(spans.select("__id", "__tag", F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi")), "spans")
     seen.drop()
     marked.drop()
     release(docs.sparkSession)
-    right = F.broadcast(spans.df) if spans.small() else spans.df
-    right = right.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), "spans")
-    out = src.join(right, (F.col("tag") == F.col("__tag")) & F.col("id").eqNullSafe(F.col("__id")), "left").select(F.col("id").alias("doc_id"), "text", "spans")
-    result = _cut(out, keep_text)
+    result = _cut(src.join(spans.df, same, "left").select(F.col("id").alias("doc_id"), "text", "lo", "hi"), keep_text)
     return result if keep_text else result.drop("kept")
