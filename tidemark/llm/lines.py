@@ -65,23 +65,44 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     """
     width = 2 * edits + 1
     full = (1 << width) - 1
-    start = F.struct(F.lit(0).alias("i"), *[F.lit(((1 << (e + 1)) - 1) << edits & full).cast("int").alias(f"r{e}") for e in range(edits + 1)])
+    # b stands in the state, so that it is made once and not at every step
+    start = F.struct(F.lit(0).alias("i"), b.alias("b"), *[F.lit(((1 << (e + 1)) - 1) << edits & full).cast("int").alias(f"r{e}") for e in range(edits + 1)])
 
     def step(s: Column, c: Column) -> Column:
-        same = sum((F.when(F.get(b, s["i"] + (d - edits)) == c, 1 << d).otherwise(0) for d in range(width)), F.lit(0))
-        rows = [s["r0"].bitwiseAND(same)]
-        for e in range(1, edits + 1):
-            old = s[f"r{e - 1}"]
-            swapped = s[f"r{e}"].bitwiseAND(same).bitwiseOR(old)
-            skipped = F.shiftright(old, 1)  # a character of a is left out
-            added = F.shiftleft(rows[-1], 1).bitwiseAND(F.lit(full))  # a character of b comes in
-            rows.append(swapped.bitwiseOR(skipped).bitwiseOR(added))
-        return F.struct((s["i"] + 1).alias("i"), *[r.alias(f"r{e}") for e, r in enumerate(rows)])
-
-    last = F.aggregate(a, start, step, lambda s: s[f"r{edits}"])
-    diagonal = F.size(b) - F.size(a) + edits
-    alive = F.call_function("shiftright", last, diagonal) % 2 == 1
-    return F.when((F.size(b) - F.size(a)).between(-edits, edits), alive).otherwise(False)
+        bits = sum((F.when(F.get(s["b"], s["i"] + (d - edits)) == c, 1 << d).otherwise(0) for d in range(width)), F.lit(0))
+
+        def moved(same: Column) -> Column:
+            rows = [s["r0"].bitwiseAND(same)]
+            for e in range(1, edits + 1):
+                old = s[f"r{e - 1}"]
+                swapped = s[f"r{e}"].bitwiseAND(same).bitwiseOR(old)
+                skipped = F.shiftright(old, 1)  # a character of a is left out
+                added = F.shiftleft(rows[-1], 1).bitwiseAND(F.lit(full))  # a character of b comes in
+                rows.append(swapped.bitwiseOR(skipped).bitwiseOR(added))
+            return F.struct((s["i"] + 1).alias("i"), s["b"].alias("b"), *[r.alias(f"r{e}") for e, r in enumerate(rows)])
+
+        return F.get(F.transform(F.array(bits), moved), F.lit(0))  # `bits` is made once
+
+    def end(s: Column) -> Column:
+        more = F.size(s["b"]) - s["i"]  # how much longer b is
+        return F.when(more.between(-edits, edits), F.call_function("shiftright", s[f"r{edits}"], more + edits) % 2 == 1).otherwise(False)
+
+    return F.aggregate(a, start, step, end)
+
+
+#: Pieces by which two lines are compared before their characters are.
+PIECES = 16
+
+
+def _pieces_found(edits: int) -> Column:
+    """Whether all but `edits` pieces of `a` stand in `b` at most `edits` places off: each edit can spoil one."""
+    size = F.greatest(F.ceil(F.length("a") / PIECES).cast("int"), F.lit(1))
+    found = F.lit(0)
+    for j in range(PIECES):
+        at = size * j + 1
+        piece, low = F.substring("a", at, size), F.greatest(at - edits, F.lit(1))
+        found = found + F.contains(F.substring("b", low, at + size + edits - low), piece).cast("int")
+    return found >= PIECES - edits
 
 
 def split_lines(text: Column) -> Column:
@@ -101,7 +122,8 @@ def near_earlier(lines: Table, edits: int = EDITS) -> Table:
     left = Table(left, "left")  # the shorter line's text stands beside the pair
     small = F.broadcast if left.small() else (lambda d: d)
     both = small(left.df).join(long.select(F.col("id").alias("y"), F.col("line").alias("b")), "y")
-    near = both.select("x", "y", chars(F.col("a")).alias("a"), chars(F.col("b")).alias("b")).where(within(F.col("a"), F.col("b"), edits))
+    both = both.select("x", "y", "a", "b").where(_pieces_found(edits))
+    near = both.where(within(chars(F.col("a")), chars(F.col("b")), edits))
     gone = Table(near.select(F.greatest("x", "y").alias("id")).distinct(), "near")
     pairs.drop()
     left.drop()
