@@ -134,23 +134,44 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent:
     is its own id. A null id takes no part and has a null component. Rows with
     the same id are one document for links. Further columns are dropped.
     """
-    spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = Table(_sets(src, words, percent), "sets")
-    classes = sets.df.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    classes = Table(classes, "classes")
-    reps = sets.df.join(classes.df.where("n > 5"), ["n", "s1", "s2"]).where("doc_id = rep").dropDuplicates(["rep", "s1", "s2"])
-    exploded = reps.select("rep", "n", "least", F.explode("prefix").alias("token"))
-    onward = _shared(exploded, "token").groupBy("rep", "n", "least").count().where("count >= least").select("rep", "n")
-    onward = Table(onward, "onward")
-    ids = onward.df.select(F.col("rep").alias("doc_id")).distinct()
+    if src.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _link(src, words, percent, frequent)
+    # each text of an id is a node of its own, and the nodes of an id are linked
+    tagged = src.withColumn("tag", F.xxhash64("text"))
+    nodes = Table(tagged.where("doc_id is not null").select("doc_id", "tag").distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
+    found = Table(_link(tagged.join(nodes.df, ["doc_id", "tag"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"]), words, percent, frequent), "found")
+    same = nodes.df.join(nodes.df.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b")
+    joined = components(found.df.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).union(same))
+    whole = nodes.df.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    names = whole.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    rows = whole.join(names, "component").join(found.df.select(F.col("doc_id").alias("node"), "n_shingles"), "node").select("doc_id", "tag", "n_shingles", "component_id")
+    known = tagged.where("doc_id is not null").join(rows, ["doc_id", "tag"]).select("doc_id", "n_shingles", "component_id")
+    return known.unionByName(_link(src.where("doc_id is null"), words, percent, frequent))
+
+
+def _link(src: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
+    """`link` of rows whose ids are different or null."""
+    spark = src.sparkSession
+    full = Table(_sets(src, words, percent), "prefixes")
+    sets = Table(full.df.drop("prefix", "least"), "sets")
+    classes = Table(sets.df.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
+    copies = Table(sets.df.join(classes.df, ["n", "s1", "s2"]).where("doc_id <> rep").select("doc_id"), "copies")
+    reps = full.df.where("n > 5 and doc_id is not null").join(F.broadcast(copies.df) if copies.small() else copies.df, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
+    exploded = reps.select("rep", F.explode("prefix").alias("token"))
+    met = _shared(exploded, "token").groupBy("rep").count()
+    onward = Table(met.join(full.df.select(F.col("doc_id").alias("rep"), "least"), "rep").where("count >= least").select("rep"), "onward")
+    full.drop()
+    release(spark)
+    ids = onward.df.withColumnRenamed("rep", "doc_id")
     chosen = src.join(F.broadcast(ids) if onward.small() else ids, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
     tokens = Table(_tokens(chosen, words), "tokens")
     release(spark)
-    every = tokens.df.select("rep", F.size("tokens").alias("n"), F.explode("tokens").alias("h"))
+    every = tokens.df.select("rep", F.explode("tokens").alias("h"))
     counts = every.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = every.join(counts, "h").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("toks"))
-    rows = Table(_signatures(ordered.select("rep", F.col("n").cast("long").alias("n"), "toks"), percent, frequent), "signatures")
+    ordered = every.join(counts, "h").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("toks"))
+    ordered = ordered.join(tokens.df.select("rep", F.size("tokens").cast("long").alias("n")), "rep")
+    rows = Table(_signatures(ordered, percent, frequent), "signatures")
     index = Table(_shared(rows.df, "key"), "index")
     release(spark)
     fits = lambda x, y: F.least(x["most"], y["most"]) * 100 >= (x["n"] + y["n"] - F.least(x["most"], y["most"])) * percent
@@ -177,20 +198,9 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent:
     second = Table(_verified(pairs, tokens.df, percent), "second")
 
     links = first.df.union(second.df)
-    members = sets.df.join(classes.df, ["n", "s1", "s2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    # a class has one link to its representative for each member; only ids with several rows need the general way
-    joined = components(links) if not _repeats(sets.df) else components(links.union(members))
-    home = joined.select(F.col("node").alias("rep"), "component")
-    if _repeats(sets.df):
-        out = sets.df.join(home.withColumnRenamed("rep", "doc_id"), "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    else:
-        whole = classes.df.join(home, "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
-        out = sets.df.join(whole, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    for t in (tokens, rows, index, first, placed, second, onward):
+    home = components(links).select(F.col("node").alias("rep"), "component")
+    whole = classes.df.join(home, "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
+    out = sets.df.join(whole, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    for t in (tokens, rows, index, first, placed, second, onward, copies):
         t.drop()
     return out
-
-
-def _repeats(sets: DataFrame) -> bool:
-    """Whether an id has several rows; a min-aggregate over ids alone."""
-    return not sets.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: A side is broadcast only if its written size is known and at most this.
 BROADCAST_BYTES = 8 << 20
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -38,7 +40,13 @@ class Table:
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/tidemark-{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        # the written table is what later jobs read: the shuffle files of this one go with it
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(self.path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before) if before is not None else self.spark.conf.unset(_CLEANUP)
         _written.append((self.spark, self.path))
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
