@@ -139,8 +139,12 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """From `doc_id, text, lang`: at most `per_lang` rows of each language that are not held out."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("doc_id", "lang", rank.alias("__rank")).where(F.col("__rank") <= per_lang).select("doc_id", "lang").distinct()
+    # a share of each language by hash first, so that few rows are ranked however many there are
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("__n"))
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    some = rows.select("doc_id", "lang").join(sizes, "lang").where(spread / F.lit(float(1 << 30)) <= F.lit(4.0 * per_lang) / F.col("__n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(spread, "doc_id"))
+    chosen = some.select("doc_id", "lang", rank.alias("__rank")).where(F.col("__rank") <= per_lang).select("doc_id", "lang").distinct()
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # per_lang rows a language
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
