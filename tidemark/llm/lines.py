@@ -94,6 +94,33 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
 PIECES = 16
 
 
+def _equal_pieces(same, lo: int = 0, hi: int = PIECES) -> Column:
+    """How many pieces are equal from one end, by bisection; `same(k)` tells whether k are."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi + 1) // 2
+    return F.when(same(mid), _equal_pieces(same, mid, hi)).otherwise(_equal_pieces(same, lo, mid - 1))
+
+
+def _trimmed(pairs: Table) -> Table:
+    """Cuts what `a` and `b` share at either end, down to a piece; that leaves their distance as it is.
+
+    Each end is a written table of its own: in one expression the cuts would be
+    made again at every comparison.
+    """
+    for front in (True, False):
+        size = F.floor(F.least(F.length("a"), F.length("b")) / PIECES).cast("int")
+        end = lambda x, k: F.substring(x, F.lit(1), k) if front else F.substring(x, F.length(x) - k + 1, k)  # noqa: B023, E731
+        count = _equal_pieces(lambda k: end("a", size * k) == end("b", size * k))  # noqa: B023
+        cut = Table(pairs.df.withColumn("cut", size * count), "cut")
+        rest = lambda x: F.substring(x, (F.col("cut") + 1) if front else F.lit(1), F.length(x) - F.col("cut"))  # noqa: B023, E731
+        out = Table(cut.df.select("x", "y", rest("a").alias("a"), rest("b").alias("b")), "trimmed")
+        pairs.drop()
+        cut.drop()
+        pairs = out
+    return pairs
+
+
 def _pieces_found(edits: int) -> Column:
     """Whether all but `edits` pieces of `a` stand in `b` at most `edits` places off: each edit can spoil one."""
     size = F.greatest(F.ceil(F.length("a") / PIECES).cast("int"), F.lit(1))
@@ -122,11 +149,12 @@ def near_earlier(lines: Table, edits: int = EDITS) -> Table:
     left = Table(left, "left")  # the shorter line's text stands beside the pair
     small = F.broadcast if left.small() else (lambda d: d)
     both = small(left.df).join(long.select(F.col("id").alias("y"), F.col("line").alias("b")), "y")
-    both = both.select("x", "y", "a", "b").where(_pieces_found(edits))
-    near = both.where(within(chars(F.col("a")), chars(F.col("b")), edits))
+    both = Table(both.select("x", "y", "a", "b").where(_pieces_found(edits)), "alike")
+    both = _trimmed(_trimmed(both))
+    near = both.df.where(_pieces_found(edits)).where(within(chars(F.col("a")), chars(F.col("b")), edits))
     gone = Table(near.select(F.greatest("x", "y").alias("id")).distinct(), "near")
-    pairs.drop()
-    left.drop()
+    for t in (pairs, left, both):
+        t.drop()
     return gone
 
 
