@@ -136,19 +136,43 @@ def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+#: Letters whose counts are compared before two lines become a pair; an edit changes the counts by two at most.
+LETTERS = "etaonirshdlu"
+
+
+def _letters(line: Column) -> Column:
+    """Counts of the letters, five bits each."""
+    low = F.lower(line)
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(LETTERS):
+        out = out.bitwiseOR(F.shiftleft((F.length(low) - F.length(F.replace(low, F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit(31)), 5 * i))
+    return out
+
+
+def _letter_distance(a: Column, b: Column) -> Column:
+    """At most the sum of the counts' differences: each is taken round a circle of 32."""
+    out = F.lit(0).cast("long")
+    for i in range(len(LETTERS)):
+        gap = F.abs(F.shiftright(a, 5 * i).bitwiseAND(F.lit(31)) - F.shiftright(b, 5 * i).bitwiseAND(F.lit(31)))
+        out = out + F.least(gap, F.lit(32) - gap)
+    return out
+
+
 def near_earlier(lines: Table, edits: int = EDITS) -> Table:
     """`id` of each distinct line (`line, id, n`) that has another one with a smaller id within `edits` edits."""
-    long = lines.df.select("id", "line", "n")
-    index = long.select(F.explode(index_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("id").alias("x"))
-    probe = long.select(F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("id").alias("y"))
-    pairs = Table(index.join(probe, "key").where(F.col("x") != F.col("y")).select("x", "y").distinct(), "pairs")
+    # candidates are told apart by hash; the texts, and so the result, come from the lines themselves
+    long = lines.df.select("id", "line", "n", F.xxhash64("line").alias("hash"))
+    keyed = long.select("line", "n", "hash", _letters(F.col("line")).alias("bag"))
+    index = keyed.select(F.explode(index_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("hash").alias("x"), F.col("bag").alias("bx"))
+    probe = keyed.select(F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("hash").alias("y"), F.col("bag").alias("by"))
+    near = (F.col("x") != F.col("y")) & (_letter_distance(F.col("bx"), F.col("by")) <= 2 * edits)
+    pairs = Table(index.join(probe, (index["key"] == probe["key"]) & near).select("x", "y").distinct(), "pairs")
     release(lines.spark)
-    small = F.broadcast if pairs.small() else (lambda d: d)
     chars = lambda c: F.split(c, "")
-    left = long.select(F.col("id").alias("x"), F.col("line").alias("a")).join(small(pairs.df), "x")
+    left = long.select(F.col("hash").alias("x"), F.col("id").alias("ix"), F.col("line").alias("a")).join(pairs.df, "x")
     left = Table(left, "left")  # the shorter line's text stands beside the pair
-    small = F.broadcast if left.small() else (lambda d: d)
-    both = small(left.df).join(long.select(F.col("id").alias("y"), F.col("line").alias("b")), "y")
+    both = left.df.join(long.select(F.col("hash").alias("y"), F.col("id").alias("iy"), F.col("line").alias("b")), "y")
+    both = both.select(F.col("ix").alias("x"), F.col("iy").alias("y"), "a", "b")
     both = Table(both.select("x", "y", "a", "b").where(_pieces_found(edits)), "alike")
     both = _trimmed(_trimmed(both))
     near = both.df.where(_pieces_found(edits)).where(within(chars(F.col("a")), chars(F.col("b")), edits))
