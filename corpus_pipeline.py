@@ -37,8 +37,8 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near duplicates."""
-    return _without(docs, jaccard_join.link(docs).where("component_id <> doc_id"))
+    """One document, the one with the smallest id, of each group of near duplicates: five-word Jaccard of 0.8 or more."""
+    return _without(docs, jaccard_join.link(docs, words=5, percent=80).where("component_id <> doc_id"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ Index. For what goes on, tokens are counted and ordered from rare to frequent.
 Rare ones are indexed alone; frequent ones as combinations of two that follow
 each other in that order. A pair with a tokens of its own on one side and b on
 the other shares all but a of the first side's n rare tokens and all but 2 a + b
-of its combinations, and a + t b <= (1 - t) n; so prefixes of the floor(15 %) or
-floor(30 %) and one more elements must meet (t = 85 %).
+of its combinations, and a + t b <= (1 - t) n; so prefixes of
+floor((1 - t) n) or floor(2 (1 - t) n) and one more elements must meet (op6: t = 85 %).
 
 Verify. In each index bucket classes are paired with the bucket's hub, the class
 with the fewest rare tokens, then verified exactly and joined to components. What
@@ -51,6 +51,11 @@ def _loss(n: int, percent: int) -> int:
     return n * (100 - percent) // 100
 
 
+def _least_size(percent: int) -> int:
+    """Tokens of the smallest set that can link with another one: the nearest it can come is a set of one more."""
+    return max(1, -(-percent // max(1, 100 - percent)))
+
+
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """`doc_id, n, s1, s2, least, prefix`: size, signature, tokens wanted in other classes, and the extended prefix of each set."""
 
@@ -63,7 +68,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 s1.append(int(s.sum(dtype=U64).view(np.int64)) if m else 0)
                 s2.append(int(mix(s ^ U64(0xD6E8FEB86659FD93)).sum(dtype=U64).view(np.int64)) if m else 0)
                 least.append(_extra(-(-m * percent // 100)))  # the smallest partner's
-                prefix.append(s[: _loss(m, percent) + _extra(m)].view(np.int64) if m > 5 else s[:0].view(np.int64))
+                prefix.append(s[: _loss(m, percent) + _extra(m)].view(np.int64) if m >= _least_size(percent) else s[:0].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(least, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "n", "s1", "s2", "least", "prefix"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, least int, prefix array<bigint>")
@@ -157,7 +162,7 @@ def _link(src: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
     sets = Table(full.df.drop("prefix", "least"), "sets")
     classes = Table(sets.df.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     copies = Table(sets.df.join(classes.df, ["n", "s1", "s2"]).where("doc_id <> rep").select("doc_id"), "copies")
-    reps = full.df.where("n > 5 and doc_id is not null").join(F.broadcast(copies.df) if copies.small() else copies.df, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
+    reps = full.df.where(f"n >= {_least_size(percent)} and doc_id is not null").join(F.broadcast(copies.df) if copies.small() else copies.df, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
     exploded = reps.select("rep", F.explode("prefix").alias("token"))
     met = _shared(exploded, "token").groupBy("rep").count()
     onward = Table(met.join(full.df.select(F.col("doc_id").alias("rep"), "least"), "rep").where("count >= least").select("rep"), "onward")
