@@ -30,8 +30,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that stand earlier; documents of which nothing but white space is left by that go."""
-    out = lines.dedup(docs)
+    """Texts without non-blank lines that stand earlier, short ones included; documents of which nothing but white space is left by that go."""
+    out = lines.dedup(docs, short_repeats=True)
     some = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"^\s*$")
     return out.where(some | (F.col("n_removed") == 0)).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 import pytest
 
-from tidemark.llm import jaccard_join
+from tidemark.llm import jaccard_join, lines
 
 
 def five_word_groups(rows, percent=80):
@@ -66,3 +66,21 @@ def test_jaccard_join_at_80_percent(spark, frequent):
 @pytest.mark.parametrize(("percent", "least"), [(85, 6), (80, 4), (50, 1), (90, 9)])
 def test_least_size_of_a_set_that_links(percent, least):
     assert jaccard_join._least_size(percent) == least
+
+
+def test_lines_stage_removes_exact_repeats_of_short_lines(spark):
+    long = "a line that is longer than twenty characters"
+    rows = [
+        (1, f"Read more\n\n{long}\nshort one", "a"), (2, f"own words here\nRead more\n\nRead mor\n{long}x", "b"), (3, "Read more", "c"),
+        (4, "  \nRead more\n  \nlast\nlast", "d"), (5, None, "e"), (6, "", "f"), (7, "Read more \n}\n}", "g"), (8, " \n\n", "h"),
+    ]
+    docs = spark.createDataFrame([(i, t, s, len(t or "")) for i, t, s in rows], "doc_id bigint, text string, source string, n_chars bigint")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines_stage(spark, docs, "").collect()}
+    # a near short line ("Read mor") is new, blank lines stay, a document of repeats alone goes
+    want = {1: rows[0][1], 2: "own words here\n\nRead mor", 4: "  \n  \nlast", 5: None, 6: "", 7: "Read more \n}", 8: " \n\n"}
+    assert got == want
+
+
+def test_lines_without_short_repeats_keep_the_contract_of_the_query(spark):
+    docs = spark.createDataFrame([(1, "Read more\nRead more")], "doc_id bigint, text string")
+    assert lines.dedup(docs).first().n_removed == 0

@@ -10,7 +10,8 @@ bit-parallel edit distance: for each number of errors a word of 2 * edits + 1
 bits says which diagonals of the band are alive.
 
 Equal lines are pre-aggregated before anything is joined, so a line in a third of
-all documents is one row of the join.
+all documents is one row of the join. Lines too short for the join can take part
+in that aggregation alone.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .scratch import Table, release
 
 EDITS = 2
-#: Shorter lines (blank ones, marks, single words) are left alone: a few edits make any of them any other.
+#: Shorter lines have no near ones: a few edits make any of them any other. Their exact repeats go with `short_repeats`.
 LEAST_CHARS = 20
 
 
@@ -158,16 +159,16 @@ def _letter_distance(a: Column, b: Column) -> Column:
     return out
 
 
-def near_earlier(lines: Table, edits: int = EDITS) -> Table:
+def near_earlier(lines: DataFrame, edits: int = EDITS) -> Table:
     """`id` of each distinct line (`line, id, n`) that has another one with a smaller id within `edits` edits."""
     # candidates are told apart by hash; the texts, and so the result, come from the lines themselves
-    long = lines.df.select("id", "line", "n", F.xxhash64("line").alias("hash"))
+    long = lines.select("id", "line", "n", F.xxhash64("line").alias("hash"))
     keyed = long.select("line", "n", "hash", _letters(F.col("line")).alias("bag"))
     index = keyed.select(F.explode(index_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("hash").alias("x"), F.col("bag").alias("bx"))
     probe = keyed.select(F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("hash").alias("y"), F.col("bag").alias("by"))
     near = (F.col("x") != F.col("y")) & (_letter_distance(F.col("bx"), F.col("by")) <= 2 * edits)
     pairs = Table(index.join(probe, (index["key"] == probe["key"]) & near).select("x", "y").distinct(), "pairs")
-    release(lines.spark)
+    release(lines.sparkSession)
     chars = lambda c: F.split(c, "")
     left = long.select(F.col("hash").alias("x"), F.col("id").alias("ix"), F.col("line").alias("a")).join(pairs.df, "x")
     left = Table(left, "left")  # the shorter line's text stands beside the pair
@@ -182,23 +183,30 @@ def near_earlier(lines: Table, edits: int = EDITS) -> Table:
     return gone
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, short_repeats: bool = False) -> DataFrame:
     """The input's columns with the removed lines cut from `text`, and `n_lines, n_removed bigint`.
 
-    Lines under `least_chars` characters stay. A null text stays null with no
-    line, an empty one has one empty line. Null ids come before all others; rows
-    that are equal in id and text are one document and get the same result;
-    rows of one id with different texts follow each other in a fixed order.
+    Lines under `least_chars` characters are in no near pair. They stay, or with
+    `short_repeats` go if the same line stands earlier, unless they are blank. A
+    null text stays null with no line, an empty one has one empty line. Null ids
+    come before all others; rows that are equal in id and text are one document
+    and get the same result; rows of one id with different texts follow each
+    other in a fixed order.
     """
     spark = docs.sparkSession
+
+    def compared(line: Column) -> Column:
+        long = F.length(line) >= least_chars
+        return long | line.rlike(r"\S") if short_repeats else long
+
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     base = docs.select(*names).withColumn("__tag", F.xxhash64("text"))
-    place = base.select("doc_id", "__tag", F.posexplode(split_lines(F.col("text"))).alias("p", "line")).where(F.length("line") >= least_chars)
+    place = base.select("doc_id", "__tag", F.posexplode(split_lines(F.col("text"))).alias("p", "line")).where(compared(F.col("line")))
     ident = F.struct(F.col("doc_id").cast("long").alias("doc"), F.col("__tag").alias("tag"), F.col("p").alias("p"))
     distinct = place.groupBy("line").agg(F.min(ident).alias("id")).withColumn("n", F.length("line"))
     lines = Table(distinct, "lines")
     release(spark)
-    gone = near_earlier(lines, edits)
+    gone = near_earlier(lines.df.where(F.col("n") >= least_chars) if short_repeats else lines.df, edits)
     release(spark)
     kept = lines.df.select("id").join(F.broadcast(gone.df) if gone.small() else gone.df, "id", "left_anti")
     kept = Table(kept.groupBy(F.col("id.doc").alias("__doc"), F.col("id.tag").alias("__of")).agg(F.collect_set("id.p").alias("__kept")), "kept").df
@@ -208,8 +216,8 @@ def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -
     out = base.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__tag") == F.col("__of")), "left")
     out = out.withColumn("__lines", split_lines(F.col("text")))
     every = F.sequence(F.lit(0), F.size("__lines") - 1)
-    short = F.filter(every, lambda i: F.length(F.get("__lines", i)) < least_chars)
-    stay = F.array_sort(F.array_union(short, F.coalesce("__kept", F.array().cast("array<int>"))))
+    outside = F.filter(every, lambda i: ~compared(F.get("__lines", i)))
+    stay = F.array_sort(F.array_union(outside, F.coalesce("__kept", F.array().cast("array<int>"))))
     out = out.withColumn("__stay", F.when(F.col("text").isNotNull(), stay))
     text = F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n")
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).cast("long")
