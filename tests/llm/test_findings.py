@@ -3,9 +3,10 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
-from tidemark.llm import jaccard_join, lines
+from tidemark.llm import jaccard_join, licences, lines
 
 
 def five_word_groups(rows, percent=80):
@@ -84,3 +85,51 @@ def test_lines_stage_removes_exact_repeats_of_short_lines(spark):
 def test_lines_without_short_repeats_keep_the_contract_of_the_query(spark):
     docs = spark.createDataFrame([(1, "Read more\nRead more")], "doc_id bigint, text string")
     assert lines.dedup(docs).first().n_removed == 0
+
+
+def grams_of(text):
+    return licences.bigrams(np.frombuffer(text.encode(), np.uint8))[1]
+
+
+def best_dice(grams, own):
+    """The highest Dice of any window, by brute force."""
+    best = 0.0
+    for i in range(len(grams)):
+        w = set()
+        for g in grams[i:]:
+            w.add(g)
+            best = max(best, 2 * len(w & own) / (len(w) + len(own)))
+    return best
+
+
+@pytest.mark.parametrize("share", [0.1, 0.12, 0.14, 0.3])
+def test_licence_with_inserted_words_inside_a_long_text(share):
+    rng = random.Random(11)
+    found = 0
+    for size in (40, 60):
+        for _ in range(5):
+            template = [f"t{rng.randrange(10**6)}" for _ in range(size + 1)]
+            notice = list(template)
+            for _ in range(round(share * size)):
+                notice.insert(rng.randrange(1, len(notice)), f"i{rng.randrange(10**6)}")
+            around = [f"o{rng.randrange(10**6)}" for _ in range(200)]
+            text = " ".join(around[:100] + notice + around[100:])
+            known = licences.Templates({"T": " ".join(template)})
+            want = best_dice(grams_of(text).tolist(), set(known.sets[0].tolist()))
+            got = known.best(grams_of(text))
+            assert [r[1] for r in got] == ([pytest.approx(want)] if want >= 0.8 else [])
+            found += len(got)
+    assert found == (10 if share < 0.14 else found) and (share < 0.3 or found == 0)
+
+
+def test_licence_windows_equal_brute_force_where_bigrams_repeat():
+    rng = random.Random(12)
+    for _ in range(150):
+        vocab = [f"v{i}" for i in range(rng.choice([4, 12, 60]))]
+        template = [rng.choice(vocab) for _ in range(rng.choice([3, 8, 20]))]
+        words = [rng.choice([*vocab, "x"]) for _ in range(rng.randrange(40))]
+        at = rng.randrange(len(words) + 1)
+        words[at:at] = template[:4] + ["ins"] * rng.randrange(2) + template[4:]
+        known, grams = licences.Templates({"T": " ".join(template)}), grams_of(" ".join(words))
+        want = best_dice(grams.tolist(), set(known.sets[0].tolist()))
+        assert [r[1] for r in known.best(grams)] == ([pytest.approx(want)] if want >= 0.8 else [])

@@ -1,10 +1,13 @@
 """Operator 8: licence scan by Dice coefficient over word bigrams.
 
 Texts and templates are lower-cased and cut into words of letters and digits.
-A text is compared with each template as a whole and through windows of the
-template's length that begin where the text shares a bigram with it. Size bounds
+A text is compared with each template through all windows that begin and end at a
+bigram that it shares with it; to cut others from an end lowers no Dice. Size bounds
 prune first: at threshold t a set of a bigrams can only match one of b if
 t / (2 - t) <= a / b <= (2 - t) / t, and it must share t * b / (2 - t) of them.
+A window whose first bigram comes again inside it is the same set without its
+first one, so windows (but for those of at most the template's length) end before
+that; each place of the text then lies in at most (2 - t) / t * b windows' starts.
 One pass, no shuffle; the templates are a fixed table.
 """
 
@@ -48,30 +51,55 @@ class Templates:
         """Name, Dice, first bigram and number of bigrams of each template's best place in a text, if it reaches the threshold."""
         t, out = self.threshold, []
         n = len(grams)
+        near = None
         for name, own, m, length in zip(self.names, self.sets, self.sizes, self.lengths, strict=True):
-            if n < m * t / (2 - t):  # even the whole text is too small
+            least, most = m * t / (2 - t), m * (2 - t) / t
+            if n < least:  # even the whole text is too small
                 continue
-            hit = np.flatnonzero(np.isin(grams, own))
-            if len(hit) < m * t / (2 - t):
+            shared = np.isin(grams, own)
+            hit = np.flatnonzero(shared)
+            if len(hit) < least or len(np.unique(grams[hit])) < least:
                 continue
+            if near is None:
+                near = _neighbours(grams)
+            before, after = near
             top = (0.0, 0, 0)
-            spans = [(i, min(i + length, n)) for i in _starts(hit, length, n, m * t / (2 - t))]
-            if n <= length * (2 - t) / t:
-                spans.append((0, n))
-            for i, j in spans:
-                w = np.unique(grams[i:j])
-                dice = 2 * len(np.intersect1d(w, own, assume_unique=True)) / (len(w) + m)
-                top = max(top, (dice, -i, j - i))
+            ends = _ends(before, after, int(most + 1e-9))
+            ends = np.minimum(ends[hit], np.maximum(after[hit], hit + length))
+            inside = np.searchsorted(hit, ends) - np.arange(len(hit))
+            for i, j in zip(hit[inside >= least].tolist(), ends[inside >= least].tolist(), strict=True):
+                new = before[i:j] < i
+                dice = 2 * np.cumsum(new & shared[i:j]) / (np.cumsum(new) + m)
+                dice[~shared[i:j]] = 0
+                same = np.flatnonzero(dice == dice.max())  # of equal ones the longest within the template's length, else the shortest
+                k = int(same[max(0, np.searchsorted(same, length) - 1)])
+                top = max(top, (float(dice[k]), -i, k + 1))
             if top[0] >= t:
                 out.append((name, top[0], -top[1], top[2]))
         return out
 
 
-def _starts(hit: np.ndarray, length: int, n: int, least: float) -> list[int]:
-    """Hits from which a window of the template's length holds enough hits; a bit before them, the window may begin too."""
-    inside = np.searchsorted(hit, hit + length) - np.arange(len(hit))
-    return hit[inside >= least].tolist()
-
+def _neighbours(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the same bigram's last occurrence before each place (-1 without one) and of its next one (the text's length)."""
+    by = np.argsort(grams, kind="stable")
+    same = grams[by[1:]] == grams[by[:-1]]
+    before, after = np.full(len(grams), -1), np.full(len(grams), len(grams))
+    before[by[1:][same]] = by[:-1][same]
+    after[by[:-1][same]] = by[1:][same]
+    return before, after
+
+
+def _ends(before: np.ndarray, after: np.ndarray, most: int) -> np.ndarray:
+    """For each place the end of the longest window from it with at most `most` distinct bigrams."""
+    n, j, held, out = len(before), 0, 0, []
+    first, then = before.tolist(), after.tolist()
+    for i in range(n):
+        while j < n and held + (first[j] < i) <= most:
+            held += first[j] < i
+            j += 1
+        out.append(j)
+        held -= then[i] >= j  # else its next occurrence counts
+    return np.array(out, np.int64)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
