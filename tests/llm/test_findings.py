@@ -133,3 +133,10 @@ def test_licence_windows_equal_brute_force_where_bigrams_repeat():
         known, grams = licences.Templates({"T": " ".join(template)}), grams_of(" ".join(words))
         want = best_dice(grams.tolist(), set(known.sets[0].tolist()))
         assert [r[1] for r in known.best(grams)] == ([pytest.approx(want)] if want >= 0.8 else [])
+
+
+def test_licence_of_the_last_text_with_words_before_empty_rows(spark):
+    for behind in ([], [None], ["", " \n"], [None, "one"], ["!!!"]):
+        rows = list(enumerate(["All rights reserved.", *behind]))
+        got = licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+        assert {r.doc_id: r.licence for r in got} == {i: "All-rights-reserved" if i == 0 else None for i, _ in rows}

@@ -28,13 +28,13 @@ _C0, _C1 = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
 
 
 def bigrams(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Offset and hash of every word bigram; bytes other than letters, digits and non-ASCII part words."""
+    """Offset of every word and hash of every word bigram; bytes other than letters, digits and non-ASCII part words."""
     low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf)
     low = np.where((low >= 0x80) | ((low >= 97) & (low <= 122)) | ((low >= 48) & (low <= 57)), low, 32).astype(np.uint8)
     at, w = word_hashes(low)
     if len(w) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    return at[:-1], mix(w[:-1] * _C0 + w[1:] * _C1)
+        return at, np.zeros(0, U64)
+    return at, mix(w[:-1] * _C0 + w[1:] * _C1)
 
 
 class Templates:
@@ -118,12 +118,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
                 ends = np.cumsum([len(b) + 1 for b in held])
                 at, grams = bigrams(np.frombuffer(b"\n".join(held) + b"\n", np.uint8))
                 place = np.minimum(np.searchsorted(known.all, grams), len(known.all) - 1)
-                hits = np.bincount(np.searchsorted(ends, at[known.all[place] == grams], "right"), minlength=len(held))
+                hits = np.bincount(np.searchsorted(ends, at[: len(grams)][known.all[place] == grams], "right"), minlength=len(held))
                 cut = np.searchsorted(at, ends)
                 lo = 0
                 for i, hi in enumerate(cut.tolist()):
-                    # the last bigram of a text runs into the next one
-                    own = grams[lo : hi - (i + 1 < len(held))] if hits[i] else grams[:0]
+                    # the bigram that begins at a text's last word runs into the next text
+                    own = grams[lo : max(lo, hi - 1)] if hits[i] else grams[:0]
                     found.append([{"licence": a, "dice": float(d), "first_word": int(f), "n_words": int(m) + 1} for a, d, f, m in known.best(own)])
                     lo = hi
             tops = [max(x, key=lambda r: (r["dice"], r["n_words"], r["licence"]), default=None) for x in found]
