@@ -4,8 +4,8 @@ The distinct pieces of a batch of whole texts are laid out in one symbol array.
 An index maps each pair that the merge table knows to all its positions there;
 active ranks are taken in ascending order, every live position of a rank is
 merged, and the lists of the pairs that this makes or breaks are updated. The
-pieces' ids are kept between batches in a bounded table, so common pieces are
-merged once per Python worker.
+pieces' ids are kept between batches in a table bounded by its bytes, so common
+pieces are merged once per task.
 
 No shuffle: one pass over the input, memory bounded by an Arrow batch and the
 piece table. Nulls are empty texts. Special tokens' strings in a text give their
@@ -27,8 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces kept between batches in each Python worker.
-KEPT_PIECES = 250_000
+from .shingles import slices
+
+#: Bytes, about, that the chunks and pieces kept between batches take in each Python worker; a task's end frees them.
+KEPT_BYTES = 128 << 20
+#: Characters of the texts that are encoded together.
+GROUP_CHARS = 2 << 20
 #: The split of byte-level BPE with this vocabulary; a fixed value of the format.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -40,6 +44,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def _bytes(entry: tuple[str, tuple[int, ...]]) -> int:
+    """What an entry of the tables takes, about: the objects' heads, the letters, the ids and their share of numbers."""
+    return 200 + len(entry[0]) + 36 * len(entry[1])
+
+
 class Codec:
     """Encoder and decoder of a byte-level BPE file of the tokenizers library."""
 
@@ -65,8 +74,13 @@ class Codec:
         self.split = regex.compile(SPLIT)
         self.odd = re.compile(r"\s\s|^\s|\s\Z")
         self.at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        """Frees what is kept between batches."""
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def _rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs; those that the merge table lacks have the table's length."""
@@ -147,16 +161,18 @@ class Codec:
         return self.split.findall(chunk)
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) > KEPT_PIECES:  # what this batch uses stays
-            self.chunks = {c: self.chunks[c] for c in chunks if c in self.chunks}
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces = {}
+        if self.held > KEPT_BYTES:  # what this batch uses stays
+            stay = {c: self.chunks[c] for c in chunks if c in self.chunks}
+            self.forget()
+            self.chunks, self.held = stay, sum(map(_bytes, stay.items()))
         cut = {c: self._plain(c) for c in chunks if c not in self.chunks}
         fresh = list({p for ps in cut.values() for p in ps if p not in self.pieces})
-        self.pieces.update(zip(fresh, self.merge(fresh), strict=True))
+        made = dict(zip(fresh, self.merge(fresh), strict=True))
+        self.pieces.update(made)
         known = self.pieces
-        for c, ps in cut.items():
-            self.chunks[c] = known[ps[0]] if len(ps) == 1 else tuple(chain.from_iterable([known[p] for p in ps]))
+        whole = {c: known[ps[0]] if len(ps) == 1 else tuple(chain.from_iterable([known[p] for p in ps])) for c, ps in cut.items()}
+        self.chunks.update(whole)
+        self.held += sum(map(_bytes, made.items())) + sum(map(_bytes, whole.items()))
 
     def _cut(self, text: str) -> list[str]:
         """Chunks that the split never crosses: before each single space, if white space never stands beside white space."""
@@ -197,7 +213,7 @@ def codec(spec: str) -> Codec:
     return _codecs[key]
 
 
-def _groups(texts: list[str], limit: int = 12 << 20) -> Iterator[list[str]]:
+def _groups(texts: list[str], limit: int = GROUP_CHARS) -> Iterator[list[str]]:
     held, size = [], 0
     for t in texts:
         held.append(t)
@@ -226,7 +242,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(spec.value)
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-        for batch in batches:
+        for batch in slices(batches):
             at = 0
             for texts in _groups([t or "" for t in batch.column(len(keep)).to_pylist()]):
                 all_ids, n, a, b = [], [], [], []
@@ -245,6 +261,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                     cols.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], [*names, "n_tokens", "ids_sha256", "decoded_sha256"])
+        c.forget()  # Spark keeps the worker for other tasks
 
     return src.mapInArrow(run, schema)
 
@@ -266,7 +283,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(spec.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if x is None else c.decode(x) for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], [*keep, "text"])
 

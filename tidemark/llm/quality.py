@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shingles import U64, chunks, mix, word_hashes
+from .shingles import U64, chunks, mix, slices, word_hashes
 
 DIM = 1 << 18
 #: Documented bound of the fit.
@@ -132,7 +132,7 @@ def fit(docs: DataFrame, graded: DataFrame, max_labels: int = MAX_LABELS) -> Mod
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_labels rows
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             idx, val = [], []
             for doc, f, v, n in features(batch.column(1).to_pylist()):
                 cut = np.searchsorted(doc, np.arange(1, n))
@@ -160,7 +160,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema) + ", expected_grade double, p_good double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             mean, top = shared.value.score(batch.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mean), pa.array(top)], [*names, "expected_grade", "p_good"])
 
