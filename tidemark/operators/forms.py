@@ -172,19 +172,3 @@ def extract_json(rows: DataFrame, id_: str, text: str, key: str | None = None) -
             yield pd.DataFrame(got, columns=[id_, "pos", "block"])
 
     return rows.select(id_, text).mapInPandas(run, f"{id_} {kind}, pos int, block string")
-
-
-# Phrases and words of stated purposes, phrases first.
-PURPOSES = {
-    "pengembangan usaha": "business expansion", "strategi internal": "internal strategy", "pemenuhan porsi publik": "free float requirement",
-    "penjualan saham": "share sale", "pembelian saham": "share purchase", "investasi": "investment", "divestasi": "divestment", "warisan": "inheritance",
-    "hibah": "grant", "penghargaan": "award", "akuisisi": "acquisition", "restrukturisasi": "restructuring", "jual saham": "share sale", "beli saham": "share purchase",
-}
-
-
-def english_purpose(text: Column) -> Column:
-    """English of a stated purpose by the first phrase that it has, else the text (R18); a translating service would come before this."""
-    low, out = F.lower(text), text
-    for k, v in reversed(PURPOSES.items()):
-        out = F.when(low.contains(k), v).otherwise(out)
-    return out
