@@ -149,3 +149,49 @@ def test_transform_of_canonical_rows_is_idempotent(spark):
     df = spark.createDataFrame([(["mesop", "x"], "buy")], "t array<string>, ty string")
     once = df.withColumn("t", tags.record_tags(F.col("t"), F.col("ty")))
     assert once.collect() == once.withColumn("t", tags.record_tags(F.col("t"), F.col("ty"))).collect()
+
+
+def test_nearest_names_are_those_of_scoring_all(spark, monkeypatch):
+    import random
+
+    from tidemark.functions.text import company_key
+    from tidemark.operators import fuzzy
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abdeiklnorstu") for _ in range(rng.randrange(2, 8))).title()
+    names = [f"PT {' '.join(word() for _ in range(rng.randrange(1, 4)))} Tbk." for _ in range(150)]
+    dim = spark.createDataFrame([(f"S{i:03d}{'.JK' if i % 2 else ''}", n) for i, n in enumerate(names)] + [("S000.JK", names[0]), ("S900", None), (None, "PT Nobody Tbk")], "symbol string, company_name string")
+
+    def typo(n):
+        x = list(n)
+        for _ in range(rng.randrange(0, 3)):
+            x[rng.randrange(3, len(x))] = rng.choice("aeiou")
+        return "".join(x)
+
+    rows = [(i, typo(rng.choice(names))) for i in range(80)] + [(900, None), (901, "PT Tbk"), (902, "Ádaro")]
+    left = spark.createDataFrame(rows, "id int, said string")
+    key = lambda x: [r[0] for r in spark.createDataFrame([(v,) for v in x], "v string").select(company_key(F.col("v"))).collect()]
+    listed = [(s, k) for s, k in zip(dim.toPandas()["symbol"], key(dim.toPandas()["company_name"].tolist()), strict=True) if s and k]
+    want = {}
+    for (i, _), q in zip(rows, key([n for _, n in rows]), strict=True):
+        top = {}
+        for s, k in listed:
+            score = fuzzy._ratio(q, k)
+            base = s.removesuffix(".JK")
+            if q and (base not in top or (-score, not s.endswith(".JK"), s) < (-top[base][0], not top[base][1].endswith(".JK"), top[base][1])):
+                top[base] = (score, s)
+        want[i] = [(s, x) for x, s in sorted(top.values(), key=lambda t: (-t[0], t[1]))[:3]]
+
+    def got(df):
+        out = {i: [] for i in want}
+        for r in df.orderBy("id", "rank").collect():
+            out[r.id].append((r.symbol, r.score))
+        return out
+
+    assert got(fuzzy.nearest(left, "id", "said", dim, "symbol", "company_name")) == want
+    best = {r.id: r.symbol for r in fuzzy.best_match(left, "id", "said", dim, "symbol", "company_name").collect()}
+    assert best == {i: w[0][0] for i, w in want.items() if w and w[0][1] >= 85}
+    # beyond the list's bound: blocks of word heads, which nearly all names that are near share
+    monkeypatch.setattr(fuzzy, "LIST_ROWS", 10)
+    blocked = {r.id: r.symbol for r in fuzzy.best_match(left, "id", "said", dim, "symbol", "company_name").collect()}
+    assert sum(blocked.get(i) == s for i, s in best.items()) >= 0.9 * len(best)

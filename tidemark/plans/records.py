@@ -240,14 +240,14 @@ def fuzzy_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three suppliers nearest to each customer's (changed) name; scored by an Arrow UDF, so rows only."""
     rows = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Suplier "), F.lpad((F.col("c_custkey") % 100).cast("string"), 9, "0")).alias("name"))
     dim = read(spark, sf_dir, "supplier").select("s_suppkey", F.replace("s_name", F.lit("#"), F.lit(" ")).alias("s_label"))
-    return fuzzy.top_k(fuzzy.scored_pairs(rows, "c_custkey", "name", dim, "s_suppkey", "s_label"), "c_custkey", "s_suppkey")
+    return fuzzy.nearest(rows, "c_custkey", "name", dim, "s_suppkey", "s_label")
 
 
 @query()
 def fuzzy_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Suplier "), F.lpad((F.col("c_custkey") % 100).cast("string"), 9, "0")).alias("name"))
     dim = read(spark, sf_dir, "supplier").select("s_suppkey", F.replace("s_name", F.lit("#"), F.lit(" ")).alias("s_label"))
-    return fuzzy.best_match(fuzzy.scored_pairs(rows, "c_custkey", "name", dim, "s_suppkey", "s_label"), "c_custkey", "s_suppkey", 80.0)
+    return fuzzy.best_match(rows, "c_custkey", "name", dim, "s_suppkey", "s_label", 80.0)
 
 
 @query()
