@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 TX = "struct<date:string,type:string,price:double,amount:bigint>"
 
 
+def once(value: Column, body) -> Column:
+    """`body` of a value that is made once a row, however often it is used there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def canonical_type(x: Column) -> Column:
     """transfer, neutral and others are other."""
     t = F.lower(F.trim(x))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -193,12 +195,19 @@ def masked(x: Column, keep: int = 4) -> Column:
     return F.concat(F.repeat(F.lit("*"), F.greatest(F.length(x) - keep, F.lit(0))), F.right(x, F.lit(keep)))
 
 
+def lowered(x: Column) -> Column:
+    """Lower case, empty for null."""
+    return F.lower(F.coalesce(x, F.lit("")))
+
+
+def some_of(low: Column, words: list[str]) -> Column:
+    """Whether any of the strings occurs in a text, in one search."""
+    return low.rlike("|".join(re.escape(w) for w in words))
+
+
 def any_word(x: Column, words: list[str]) -> Column:
     """Whether any of the strings occurs in the lower-cased text."""
-    low, some = F.lower(F.coalesce(x, F.lit(""))), F.lit(False)
-    for w in words:
-        some = some | F.contains(low, F.lit(w))
-    return some
+    return some_of(lowered(x), words)
 
 
 def truth(x: Column) -> Column:

@@ -29,7 +29,10 @@ class AuditConfig:
     gate: tuple[str, ...] = ("suspicious_price_level", "percent_discrepancy", "stale_price", "missing_price", "delta_pp_mismatch")
 
 
-def reason(scope: str, code: str, message: Column, **details: Column) -> Column:
+def reason(scope: str, code: str, message: Column, brief: bool = False, **details: Column) -> Column:
+    """struct<scope, code, message, details>; `brief` leaves out what is made for reading."""
+    if brief:
+        return F.struct(F.lit(scope).alias("scope"), F.lit(code).alias("code"))
     pairs = [x for k, v in details.items() for x in (F.lit(k), v.cast("string"))]
     return F.struct(F.lit(scope).alias("scope"), F.lit(code).alias("code"), message.alias("message"), (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("details"))
 
@@ -50,12 +53,12 @@ def price_flags(price: Column, median: Column, market: Column, cfg: AuditConfig
     }
 
 
-def tx_reasons(txs: Column, median: Column, market: Column, cfg: AuditConfig = AuditConfig()) -> Column:
+def tx_reasons(txs: Column, median: Column, market: Column, cfg: AuditConfig = AuditConfig(), brief: bool = False) -> Column:
     """Reasons of an array of transactions, in their order (rules 8-10)."""
 
     def of(t: Column) -> Column:
         flags = price_flags(t["price"], median, market, cfg)
-        say = lambda code, what, ref: F.when(flags[code], reason("tx", code, F.format_string(what, ratio(t["price"], ref)), price=t["price"], reference=ref, ratio=F.round(ratio(t["price"], ref), 3)))
+        say = lambda code, what, ref: F.when(flags[code], reason("tx", code, F.format_string(what, ratio(t["price"], ref)), brief, price=t["price"], reference=ref, ratio=F.round(ratio(t["price"], ref), 3)))
         ref = F.coalesce(F.nullif(market, F.lit(0.0)), median)
         return _present(
             say("price_deviation_within_doc", "price is %.3f of the document median", median),
@@ -76,7 +79,7 @@ def kinds_of(txs: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(txs, lambda t: F.lower(F.coalesce(t["type"], F.lit(""))))))
 
 
-def row_reasons(cfg: AuditConfig = AuditConfig()) -> Column:
+def row_reasons(cfg: AuditConfig = AuditConfig(), brief: bool = False) -> Column:
     """Rules 1-7 over `freshness_days, ref_price, amount_transaction, holding_before, holding_after, price, transaction_value, transaction_type, txs`."""
     c = F.col
     need = ("amount_transaction", "holding_before", "holding_after", "price", "transaction_value")
@@ -87,25 +90,27 @@ def row_reasons(cfg: AuditConfig = AuditConfig()) -> Column:
     others = F.size(F.array_except(kinds, F.array(F.lit("buy"), F.lit("sell"), F.lit("")))) > 0
     only = ~trades & (F.size(kinds) > 0) & (F.size(F.array_except(kinds, F.array(F.lit("transfer"), F.lit("other"), F.lit("")))) == 0)
     valid = structure_is_valid(c("txs"), c("transaction_type"))
+    row = lambda code, message, **details: reason("row", code, message, brief, **details)
     return _present(
-        F.when(c("freshness_days") > cfg.stale_days, reason("row", "stale_price", F.format_string("reference price is %d days old", c("freshness_days")), freshness_days=c("freshness_days"))),
-        F.when(c("ref_price").isNull(), reason("row", "missing_price", F.lit("no reference price"))),
-        F.when(F.size(missing) > 0, reason("row", "missing_required_field", F.concat(F.lit("missing: "), F.array_join(missing, ", ")), missing_fields=F.array_join(missing, ","))),
-        F.when(why.isNotNull(), reason("row", "mismatch_transaction_type", why, holding_before=c("holding_before"), holding_after=c("holding_after"))),
-        F.when(only, reason("row", "transfer_only_transaction", F.lit("only transfers or others"), kinds=F.array_join(kinds, ","))),
-        F.when(trades & others, reason("row", "mixed_transaction_type", F.lit("trades beside transfers or others"), kinds=F.array_join(kinds, ","))),
-        F.when(~valid, reason("row", "invalid_price_transaction", F.lit("transactions without date, type or amount"))),
+        F.when(c("freshness_days") > cfg.stale_days, row("stale_price", F.format_string("reference price is %d days old", c("freshness_days")), freshness_days=c("freshness_days"))),
+        F.when(c("ref_price").isNull(), row("missing_price", F.lit("no reference price"))),
+        F.when(F.size(missing) > 0, row("missing_required_field", F.concat(F.lit("missing: "), F.array_join(missing, ", ")), missing_fields=F.array_join(missing, ","))),
+        F.when(why.isNotNull(), row("mismatch_transaction_type", why, holding_before=c("holding_before"), holding_after=c("holding_after"))),
+        F.when(only, row("transfer_only_transaction", F.lit("only transfers or others"), kinds=F.array_join(kinds, ","))),
+        F.when(trades & others, row("mixed_transaction_type", F.lit("trades beside transfers or others"), kinds=F.array_join(kinds, ","))),
+        F.when(~valid, row("invalid_price_transaction", F.lit("transactions without date, type or amount"))),
     )
 
 
-def audit(rows: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
+def audit(rows: DataFrame, cfg: AuditConfig = AuditConfig(), brief: bool = False) -> DataFrame:
     """Adds `reasons, needs_review, skip_reason` to rows that `percent_model` and a market reference have been joined to (needs `doc_median`).
 
     An earlier transfer or mixed skip reason stays; else the first gated code, else
-    suspicious_price_level if any transaction rule fired.
+    suspicious_price_level if any transaction rule fired. `brief` reasons have a
+    scope and a code only: enough to gate and to count, and nothing is formatted.
     """
-    pct = F.when(F.col("percent_discrepancy"), reason("row", "percent_discrepancy", F.format_string("model is off by %.5f points", F.col("discrepancy_pp")), discrepancy_pp=F.col("discrepancy_pp")))
-    out = rows.withColumn("reasons", F.concat(row_reasons(cfg), tx_reasons(F.col("txs"), F.col("doc_median"), F.col("ref_price"), cfg), _present(pct)))
+    pct = F.when(F.col("percent_discrepancy"), reason("row", "percent_discrepancy", F.format_string("model is off by %.5f points", F.col("discrepancy_pp")), brief, discrepancy_pp=F.col("discrepancy_pp")))
+    out = rows.withColumn("reasons", F.concat(row_reasons(cfg, brief), tx_reasons(F.col("txs"), F.col("doc_median"), F.col("ref_price"), cfg, brief), _present(pct)))
     codes = F.transform("reasons", lambda r: r["code"])
     early = F.get(F.filter(codes, lambda k: k.isin("transfer_only_transaction", "mixed_transaction_type")), F.lit(0))
     gated = F.get(F.filter(codes, lambda k: k.isin(*cfg.gate)), F.lit(0))

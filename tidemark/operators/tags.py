@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import any_word, hyphenize
+from ..functions.arrays import once
+from ..functions.text import hyphenize, lowered, some_of
 
 # Keyword banks.
 BUY = ["beli", "pembelian", "buy", "akumulasi", "investasi", "acquisition", "penambahan", "increase", "buyback", "buy back", "investment", "peningkatan", "akuisisi"]
@@ -54,13 +55,15 @@ def crosses_half_strictly(before: Column, after: Column) -> Column:
 
 def document_type(text: Column, before: Column, after: Column) -> Column:
     """neutral for corrections; sell words before buy words, then transfers and inheritances, then the percents (L2)."""
-    return F.when(any_word(text, CORRECTION), "neutral").when(any_word(text, SELL), "sell").when(any_word(text, BUY), "buy").when(any_word(text, TRANSFER + INHERIT), "transfer").when(after > before, "buy").when(after < before, "sell").otherwise("neutral")
+    by_percent = F.when(after > before, "buy").when(after < before, "sell").otherwise("neutral")
+    by_words = lambda low: F.when(some_of(low, CORRECTION), "neutral").when(some_of(low, SELL), "sell").when(some_of(low, BUY), "buy").when(some_of(low, TRANSFER + INHERIT), "transfer")
+    return F.coalesce(once(lowered(text), by_words), by_percent)
 
 
 def text_flags(text: Column) -> Column:
     """Five booleans of a text (L3)."""
     banks = {"mesop": MESOP, "free_float_requirement": FREE_FLOAT, "inheritance": INHERIT, "share_transfer_hint": TRANSFER, "capital_restructuring": RESTRUCTURING}
-    return F.struct(*[any_word(text, bank).alias(name) for name, bank in banks.items()])
+    return once(lowered(text), lambda low: F.struct(*[some_of(low, bank).alias(name) for name, bank in banks.items()]))
 
 
 def _named(*pairs: tuple[str, Column]) -> Column:
@@ -70,12 +73,15 @@ def _named(*pairs: tuple[str, Column]) -> Column:
 def new_form_tags(purpose: Column, before: Column, after: Column, type_: Column) -> Column:
     """Sorted tags by purpose; the type stands in if there are none and settles a conflict (L4)."""
     banks = {"mesop": MESOP, "free_float_compliance": FREE_FLOAT, "inheritance": INHERIT, "share-transfer": TRANSFER, "capital-restructuring": RESTRUCTURING, "investment": BUY, "divestment": SELL, "repurchase-agreement": REPURCHASE, "placement": PLACEMENT}
-    found = _named(*[(t, any_word(purpose, b)) for t, b in banks.items()])
     by_type = _named(("investment", type_ == "buy"), ("divestment", type_ == "sell"))
-    some = F.when(F.size(found) > 0, found).otherwise(by_type)
-    both = F.array_contains(some, "investment") & F.array_contains(some, "divestment")
-    some = F.when(both & (type_ == "buy"), F.array_remove(some, "divestment")).when(both & (type_ == "sell"), F.array_remove(some, "investment")).otherwise(some)
-    return F.array_sort(F.concat(some, _named(("takeover", crosses_half(before, after)))))
+
+    def settled(some: Column) -> Column:
+        both = F.array_contains(some, "investment") & F.array_contains(some, "divestment")
+        return F.when(both & (type_ == "buy"), F.array_remove(some, "divestment")).when(both & (type_ == "sell"), F.array_remove(some, "investment")).otherwise(some)
+
+    found = once(lowered(purpose), lambda low: _named(*[(t, some_of(low, b)) for t, b in banks.items()]))
+    some = once(found, lambda f: F.when(F.size(f) > 0, f).otherwise(by_type))
+    return F.array_sort(F.concat(once(some, settled), _named(("takeover", crosses_half(before, after)))))
 
 
 def filing_tags(types: Column, before: Column, after: Column, flags: Column, compat: bool = False) -> Column:

@@ -113,7 +113,7 @@ def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = F.col("filing_id")
     doc = doc.withColumns({"price": F.col("transaction_value") / F.col("amount_transaction"), "holding_before": 1000 + f % 500, "holding_after": 1000 + f % 500 + F.col("net_signed"), "share_percentage_before": (f % 61 + 0.125).cast("double"), "share_percentage_after": (f % 59 + 0.25).cast("double"), "transaction_type": F.when(f % 2 == 0, "buy").otherwise("sell"), "freshness_days": (f % 30).cast("int")})
     rows = doc.join(ref.withColumnRenamed("ref", "ref_price"), "symbol_id", "left")
-    return audit.audit(positions.percent_model(rows))
+    return audit.audit(positions.percent_model(rows), brief=True)
 
 
 _AUDITED = f"""{TX}, ref AS (SELECT symbol_id, median(price) AS ref FROM tx GROUP BY symbol_id),
