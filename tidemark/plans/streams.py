@@ -33,10 +33,10 @@ def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return microbatch.sessions(read(spark, sf_dir, "events"), "ts", "user_id", "12 hours")
 
 
-@query("""SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type""")
+@query("""SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id, event_type""")
 def microbatch_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a stream without look-back limit keeps of each key: its first event."""
-    return read(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
+    """What the look-back operator keeps of a batch: the earliest event of each key."""
+    return microbatch.deduplicated(read(spark, sf_dir, "events"), "ts", ["user_id", "event_type"]).select("user_id", "event_type", "event_id")
 
 
 @query("""SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_totalprice BETWEEN 1000 AND 100000 AND lower(o_orderpriority) LIKE '%high%'""")

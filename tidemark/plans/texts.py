@@ -66,13 +66,11 @@ def title_body_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", got["title"].alias("title"), got["body"].alias("body"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN v >= 1000000 THEN CAST(v // 1000000 AS VARCHAR) || 'M' WHEN v >= 1000 THEN CAST(v // 1000 AS VARCHAR) || 'K' ELSE CAST(v AS VARCHAR) END AS short, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS dotted FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 1000000 WHEN o_orderkey % 3 = 1 THEN (o_orderkey % 900 + 1) * 1000 ELSE o_orderkey % 900 END AS v FROM orders)""")
+@query("""SELECT o_orderkey, CASE WHEN v >= 1000000000 THEN regexp_replace(CAST(CAST(round(v / 1000000000.0, 1) AS DECIMAL(18,1)) AS VARCHAR), '\\.0$', '') || 'B' WHEN v >= 1000000 THEN CAST(v // 1000000 AS VARCHAR) || 'M' WHEN v >= 1000 THEN CAST(v // 1000 AS VARCHAR) || 'K' ELSE CAST(v AS VARCHAR) END AS short, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS dotted FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 1000000 WHEN o_orderkey % 3 = 1 THEN (o_orderkey % 900 + 1) * 1000 ELSE o_orderkey % 900 END AS v FROM orders)""")
 def abbrev_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     v = F.when(k % 3 == 0, k * 1000000).when(k % 3 == 1, (k % 900 + 1) * 1000).otherwise(k % 900)
-    short = text.abbreviated(v.cast("double"))
-    # billions and more as millions, as the twin has them
-    return read(spark, sf_dir, "orders").select("o_orderkey", F.when(v >= 10**9, F.concat(F.floor(v / 1000000).cast("string"), F.lit("M"))).otherwise(short).alias("short"), text.dotted(k * 1000).alias("dotted"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", text.abbreviated(v.cast("double")).alias("short"), text.dotted(k * 1000).alias("dotted"))
 
 
 _ORG = " OR ".join(f"contains(upper(c_name || ' ' || c_mktsegment), '{w}')" for w in text.ORGANISATION_WORDS)
@@ -140,14 +138,13 @@ def record_type_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", tags.record_type(raw, F.col("o_custkey"), F.col("o_orderkey")).alias("type"), tags.sentiment(F.when(s == "F", "buy").when(s == "O", "sell")).alias("sentiment"), tags.form_type(form).alias("form"))
 
 
-@query("""SELECT conv_id, turn, role AS who, split_part(text, chr(10), 1) AS said FROM conversations WHERE trim(split_part(text, chr(10), 1)) <> '' AND text NOT LIKE '%Speaker%'""")
+@query("""SELECT conv_id, turn, CASE WHEN trim(role) <> '' THEN trim(role) END AS who, nullif(trim(split_part(text, chr(10), 1), ' '), '') AS said FROM conversations""")
 def line_value_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "conversations").where("text not like '%Speaker%'")
-    doc = F.concat(F.lit("Form 1\nSpeaker\n\n: "), F.col("role"), F.lit("\nStatement   "), F.col("text"))
+    """Values of two labels: on the next filled line, and behind the label on its own line (none if the rest is blank)."""
+    c = read(spark, sf_dir, "conversations")
     first = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
-    got = c.select("conv_id", "turn", forms.label_value(doc, "speaker").alias("who"), first.alias("first"), forms.label_value(doc, "statement").alias("said")).where("trim(first) <> ''")
-    # the value is trimmed; the first line is what it must be but for that
-    return got.select("conv_id", "turn", "who", F.when(F.trim("first") == F.col("said"), F.col("first")).alias("said"))
+    doc = F.concat(F.lit("Form 1\nSpeaker\n\n: "), F.col("role"), F.lit("\nStatement   "), first, F.lit("\nEnd:"), F.substring(F.col("text"), F.length(first) + 1, F.length("text")))
+    return c.select("conv_id", "turn", forms.label_value(doc, "speaker").alias("who"), F.nullif(forms.label_value(doc, "statement"), F.lit("End:")).alias("said"))
 
 
 @query(f"""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(ORDER)}) - 1 AS pos, CASE l_returnflag WHEN 'R' THEN 'buy' WHEN 'A' THEN 'sell' ELSE 'transfer' END AS type, CAST(l_partkey * 1000 AS BIGINT) AS amount, round(l_extendedprice, 2) AS price, strftime(l_shipdate, '%Y-%m-%d') AS date FROM lineitem""")
