@@ -82,9 +82,9 @@ def test_lines_stage_removes_exact_repeats_of_short_lines(spark):
     assert got == want
 
 
-def test_lines_without_short_repeats_keep_the_contract_of_the_query(spark):
-    docs = spark.createDataFrame([(1, "Read more\nRead more")], "doc_id bigint, text string")
-    assert lines.dedup(docs).first().n_removed == 0
+def test_lines_query_removes_exact_repeats_of_short_lines(spark):
+    docs = spark.createDataFrame([(1, "Read more\nRead more\n\n\n  \n  ")], "doc_id bigint, text string")
+    assert lines.dedup(docs).first().n_removed == 1
 
 
 def grams_of(text):

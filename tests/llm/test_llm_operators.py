@@ -229,6 +229,21 @@ def test_jaccard_join_of_repeated_ids_and_no_rows(spark, empty):
     assert jaccard_join.link(empty).count() == 0
 
 
+def test_components_of_a_path_take_few_rounds(spark, monkeypatch):
+    steps = []
+
+    class Counted(components.Table):
+        def __init__(self, df, name):
+            steps.append(name)
+            super().__init__(df, name)
+
+    monkeypatch.setattr(components, "Table", Counted)
+    links = [(i, i + 1) for i in range(-500, 500)] + [(5000 + 2 * i, 5000 + 2 * i + 2) for i in range(20)] + [(2**62, -(2**62)), (9000, 9000), (None, 3)]
+    got = dict(map(tuple, components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
+    want = {i: -500 for i in range(-500, 501)} | {5000 + 2 * i: 5000 for i in range(21)} | {2**62: -(2**62), -(2**62): -(2**62)}
+    assert got == want and steps.count("step") <= 20
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (10, 11), (12, 11), (4, 4), (9, 8), (8, 7), (7, 6), (6, 5), *[(100 + i, 101 + i) for i in range(40)]]
     got = dict(map(tuple, components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
@@ -293,10 +308,10 @@ def brute_lines(pairs, least=20, edits=2):
     first = {}
     for i, t in sorted(((i, t) for i, t in pairs), key=lambda p: (p[0] is not None, p[0] or 0)):
         for p, x in enumerate(t.split("\n")):
-            if len(x) >= least:
+            if len(x) >= least or x.strip():
                 first.setdefault(x, (i is not None, i or 0, p))
-    gone = {x for x in first for y in first if first[y] < first[x] and abs(len(x) - len(y)) <= edits and brute_edit(x, y) <= edits}
-    return {i: "\n".join(x for p, x in enumerate(t.split("\n")) if len(x) < least or x not in gone and first[x] == (i is not None, i or 0, p)) for i, t in pairs}
+    gone = {x for x in first for y in first if min(len(x), len(y)) >= least and first[y] < first[x] and abs(len(x) - len(y)) <= edits and brute_edit(x, y) <= edits}
+    return {i: "\n".join(x for p, x in enumerate(t.split("\n")) if x not in first or x not in gone and first[x] == (i is not None, i or 0, p)) for i, t in pairs}
 
 
 def test_lines_equal_brute_force(spark):
@@ -321,6 +336,34 @@ def test_lines_equal_brute_force(spark):
     assert sum(r.n_removed for r in got.values()) > 40
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_families_of_lines_equal_brute_force(spark, seed):
+    """Lines that share most of their text with an earliest line that few of them are near to."""
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.choice([1, 2, 3, 6])))
+    bases = [[word() for _ in range(12)] for _ in range(3)]
+    rows = []
+    for i in range(60):
+        held = []
+        for _ in range(3):
+            w = list(rng.choice(bases))
+            w[rng.randrange(len(w))] = word()
+            held.append(" ".join(w).ljust(24, "."))
+        rows.append((i, "\n".join(held)))
+    got = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id: r.text for r in got.collect()} == brute_lines(rows)
+
+
+def test_rows_of_one_id_are_told_apart_by_their_texts(spark):
+    a, b = "the first of two texts with one id", "the other text, which has another line"
+    rows = [(7, a), (7, a), (7, f"{b}\n{a}"), (8, b), (8, None), (None, "a line of a text that has no id")]
+    got = sorted((r.doc_id or 0, r.text or "", r.n_removed) for r in lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    whole = [(0, rows[-1][1], 0), (8, "", 0), (8, "", 1)]
+    assert got in (sorted([*whole, (7, a, 0), (7, a, 0), (7, b, 1)]), sorted([*whole, (7, "", 1), (7, "", 1), (7, f"{b}\n{a}", 0)]))
+
+
 def test_lines_edge_cases(docs, empty):
     out = lines.dedup(docs)
     assert out.columns == [*docs.columns, "n_lines", "n_removed"] and out.count() == docs.count()

@@ -16,9 +16,9 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_
 LINES = r"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
  l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM d),
- f AS (SELECT line, min((doc_id, p)) AS id, length(line) AS n FROM l WHERE length(line) >= 20 GROUP BY line),
- q AS (SELECT line, id, n + unnest([-2, -1, 0, 1, 2]) AS m FROM f),
- gone AS (SELECT DISTINCT q.line FROM q JOIN f ON f.n = q.m AND f.id < q.id WHERE levenshtein(q.line, f.line) <= 2),
+ f AS (SELECT line, min((doc_id, p)) AS id, length(line) AS n FROM l WHERE length(line) >= 20 OR regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY line),
+ q AS (SELECT line, id, n + unnest([-2, -1, 0, 1, 2]) AS m FROM f WHERE n >= 20),
+ gone AS (SELECT DISTINCT q.line FROM q JOIN f ON f.n = q.m AND f.n >= 20 AND f.id < q.id WHERE levenshtein(q.line, f.line) <= 2),
  k AS (SELECT l.doc_id, l.p, l.line FROM l LEFT JOIN f ON f.line = l.line LEFT JOIN gone ON gone.line = l.line WHERE f.line IS NULL OR (gone.line IS NULL AND f.id = (l.doc_id, l.p)))
 SELECT d.doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(len(ls), 0) - count(k.p) AS n_removed, sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.p), '')) AS kept_sha256 FROM d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id, d.ls
 """
