@@ -6,7 +6,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
-from tidemark.llm import jaccard_join, licences, lines
+from tidemark.llm import jaccard_join, licences, lines, shingles
 
 
 def five_word_groups(rows, percent=80):
@@ -87,6 +87,15 @@ def test_lines_query_removes_exact_repeats_of_short_lines(spark):
     assert lines.dedup(docs).first().n_removed == 1
 
 
+@pytest.mark.parametrize("before", [[], [""], [" "], [None, "\n\t"], ["x"], ["longer words before it"]])
+def test_a_words_hash_does_not_depend_on_what_stands_before_it(before):
+    for text in ("one two three four five", "  one two three four five", "\n\n one\ttwo three  four five \n"):
+        assert list(shingles.shingle_sets([*before, text], 3))[-1].tolist() == list(shingles.shingle_sets(["one two three four five"], 3))[0].tolist()
+        held = [(t or "").encode() for t in (*before, text)]
+        buf = np.frombuffer(b"\n".join(held) + b"\n", np.uint8)
+        assert shingles.word_hashes(buf)[1][-5:].tolist() == shingles.word_hashes(np.frombuffer(b"one two three four five", np.uint8))[1].tolist()
+
+
 def grams_of(text):
     return licences.bigrams(np.frombuffer(text.encode(), np.uint8))[1]
 
@@ -140,3 +149,40 @@ def test_licence_of_the_last_text_with_words_before_empty_rows(spark):
         rows = list(enumerate(["All rights reserved.", *behind]))
         got = licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
         assert {r.doc_id: r.licence for r in got} == {i: "All-rights-reserved" if i == 0 else None for i, _ in rows}
+
+
+def test_scan_equals_brute_force_whatever_stands_beside_a_row(spark):
+    rng = random.Random(13)
+    vocab = [f"v{i}" for i in range(30)]
+    templates = {f"T{k}": " ".join(rng.choice(vocab) for _ in range(n)) for k, n in enumerate((2, 3, 6, 12, 25))}
+    texts = [None, "", " ", "one", "!!!", "v1 v2"]
+    for _ in range(60):
+        words = [rng.choice(vocab) for _ in range(rng.randrange(12))]
+        at = rng.randrange(len(words) + 1)
+        own = rng.choice(list(templates.values())).split()
+        words[at:at] = own[: rng.randrange(len(own) // 2, len(own) + 1)]
+        texts.append(rng.choice(["{}", "{}\n", " {}.", "{} !"]).format(" ".join(words)))
+    sets = {k: set(grams_of(t).tolist()) for k, t in templates.items()}
+
+    def best(text):
+        found = {k: best_dice(grams_of(text or "").tolist(), s) for k, s in sets.items()}
+        return {k: d for k, d in found.items() if d >= 0.8}
+
+    for seed in range(3):
+        rows = [(i, t) for i, t in enumerate(texts)]
+        random.Random(seed).shuffle(rows)
+        got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), templates).collect()}
+        for i, t in rows:
+            want = best(t)
+            assert {x.licence: x.dice for x in got[i].licences} == pytest.approx(want), t
+            assert got[i].n_licences == len(want) and got[i].dice == (pytest.approx(max(want.values())) if want else None)
+
+
+def test_whole_licences_are_found_inside_other_text():
+    known = licences.Templates(licences.TEMPLATES)
+    for name in ("Apache-2.0-text", "BSD-3-Clause", "LGPL-3.0-text", "MPL-2.0-text"):
+        words = licences.TEMPLATES[name].split()
+        changed = " ".join(w for i, w in enumerate(words) if i % 40)
+        found = {r[0]: r[1] for r in known.best(grams_of(f"some code before it {changed} and other words behind it"))}
+        assert found[name] > 0.9
+    assert ("GPL-2.0-text", 1.0) in [r[:2] for r in known.best(grams_of(licences.TEMPLATES["GPL-2.0-text"]))]

@@ -46,7 +46,7 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, U64)
     low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(U64)
     place = np.arange(len(buf), dtype=np.int64)
-    place -= np.repeat(np.concatenate(([0], starts[1:])), np.diff(np.concatenate(([0], starts[1:], [len(buf)]))))
+    place -= np.repeat(starts, np.diff(np.concatenate(([0], starts[1:], [len(buf)]))))  # what stands before the first word has no value
     wraps = place >= _SPAN
     weight = _POW[place & (_SPAN - 1)]
     if wraps.any():  # words longer than the table: the lap counts too
