@@ -1,4 +1,6 @@
-"""Licence templates: fixed values, the notices by which public licences are granted."""
+"""Licence templates: fixed values, the notices by which public licences are granted, and whole licences from `templates/`."""
+
+from pathlib import Path
 
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
@@ -21,3 +23,6 @@ TEMPLATES = {
     "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
     "All-rights-reserved": "All rights reserved.",
 }
+
+#: Whole texts of public licences, by file name.
+TEMPLATES |= {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(__file__).with_name("templates").glob("*.txt"))}

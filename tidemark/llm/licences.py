@@ -46,20 +46,24 @@ class Templates:
         self.sets = sets
         self.sizes = np.array([len(s) for s in sets])
         self.all = np.unique(np.concatenate(sets))
+        #: Which templates have a bigram, and how many of a text's they must share.
+        self.member = np.stack([np.isin(self.all, s, assume_unique=True) for s in sets], axis=1)
+        self.least = self.sizes * threshold / (2 - threshold)
 
     def best(self, grams: np.ndarray) -> list[tuple[str, float, int, int]]:
         """Name, Dice, first bigram and number of bigrams of each template's best place in a text, if it reaches the threshold."""
         t, out = self.threshold, []
-        n = len(grams)
+        if not len(grams):
+            return out
+        place = np.minimum(np.searchsorted(self.all, grams), len(self.all) - 1)
+        known = self.all[place] == grams
+        enough = self.member[np.unique(place[known])].sum(0) >= self.least  # else even the whole text shares too little
         near = None
-        for name, own, m, length in zip(self.names, self.sets, self.sizes, self.lengths, strict=True):
-            least, most = m * t / (2 - t), m * (2 - t) / t
-            if n < least:  # even the whole text is too small
-                continue
-            shared = np.isin(grams, own)
+        for k in np.flatnonzero(enough).tolist():
+            name, m, length = self.names[k], self.sizes[k], self.lengths[k]
+            least, most = self.least[k], m * (2 - t) / t
+            shared = known & self.member[place, k]
             hit = np.flatnonzero(shared)
-            if len(hit) < least or len(np.unique(grams[hit])) < least:
-                continue
             if near is None:
                 near = _neighbours(grams)
             before, after = near
@@ -72,8 +76,10 @@ class Templates:
                 dice = 2 * np.cumsum(new & shared[i:j]) / (np.cumsum(new) + m)
                 dice[~shared[i:j]] = 0
                 same = np.flatnonzero(dice == dice.max())  # of equal ones the longest within the template's length, else the shortest
-                k = int(same[max(0, np.searchsorted(same, length) - 1)])
-                top = max(top, (float(dice[k]), -i, k + 1))
+                end = int(same[max(0, np.searchsorted(same, length) - 1)])
+                top = max(top, (float(dice[end]), -i, end + 1))
+                if top[0] == 1.0:  # of equal ones the first counts
+                    break
             if top[0] >= t:
                 out.append((name, top[0], -top[1], top[2]))
         return out
@@ -105,13 +111,15 @@ def _ends(before: np.ndarray, after: np.ndarray, most: int) -> np.ndarray:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """For every row: `doc_id, licence, dice, n_licences, licences array<struct<licence,dice,first_word,n_words>>`.
 
-    `licence` is the best match (highest Dice, then the longer, then by name),
-    null without one; a null or empty text has none.
+    `licence` is the best match (highest Dice, then the longer, then the first
+    name), null without one; a null or empty text has none. Equal rows get equal
+    results, no row depends on others, and texts of any length are compared whole;
+    an empty table gives one.
     """
-    texts = TEMPLATES if templates is None else templates
+    texts = docs.sparkSession.sparkContext.broadcast(TEMPLATES if templates is None else templates)  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Templates(texts, threshold)
+        known = Templates(texts.value, threshold)
         for batch in batches:
             found: list[list[dict]] = []
             for _, held in chunks(batch.column(1).to_pylist()):
@@ -126,7 +134,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
                     own = grams[lo : max(lo, hi - 1)] if hits[i] else grams[:0]
                     found.append([{"licence": a, "dice": float(d), "first_word": int(f), "n_words": int(m) + 1} for a, d, f, m in known.best(own)])
                     lo = hi
-            tops = [max(x, key=lambda r: (r["dice"], r["n_words"], r["licence"]), default=None) for x in found]
+            tops = [min(x, key=lambda r: (-r["dice"], -r["n_words"], r["licence"]), default=None) for x in found]
             kind = pa.list_(pa.struct([("licence", pa.string()), ("dice", pa.float64()), ("first_word", pa.int32()), ("n_words", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r and r["licence"] for r in tops], pa.string()), pa.array([r and r["dice"] for r in tops], pa.float64()), pa.array(map(len, found), pa.int32()), pa.array(found, kind)],
