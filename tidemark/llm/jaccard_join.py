@@ -18,8 +18,13 @@ floor((1 - t) n) or floor(2 (1 - t) n) and one more elements must meet (op6: t =
 Verify. In each index bucket classes are paired with the bucket's hub, the class
 with the fewest rare tokens, then verified exactly and joined to components. What
 remains are pairs of a bucket whose members are in different components; all of
-them that the positions allow are verified. Copies of a text in a group of
-thousands so need a link each, not a link for each pair.
+them that the positions and the parity bits allow are verified. Copies of a text in
+a group of thousands so need a link each, not a link for each pair.
+
+Parity bits. Each class has a bit for each of `BITS` hash values: whether an odd
+number of its tokens has it. Bits in which two classes differ are at most the tokens
+that only one of them has, and of these a pair that links has at most
+(1 - t) / (1 + t) of both sizes; so no pair that links is left out.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -38,6 +43,8 @@ from .shingles import U64, mix, shingle_sets, slices
 WORDS = 4
 #: Jaccard threshold in hundredths.
 PERCENT = 85
+#: Parity bits of a class.
+BITS = 512
 #: Tokens in more classes than this are indexed in combinations.
 FREQUENT = 64
 
@@ -77,10 +84,19 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def _tokens(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column(1).to_pylist(), words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "tokens"])
+            sets = list(shingle_sets(batch.column(1).to_pylist(), words))
+            odd = [np.packbits(np.bincount((s % U64(BITS)).astype(np.int64), minlength=BITS) & 1).view(np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))], ["rep", "tokens", "odd"])
+
+    return docs.mapInArrow(run, "rep bigint, tokens array<bigint>, odd array<bigint>")
 
-    return docs.mapInArrow(run, "rep bigint, tokens array<bigint>")
+
+def _differing(x: Column, y: Column) -> Column:
+    """Parity bits in which two classes differ."""
+    out = F.lit(0)
+    for i in range(BITS // 64):
+        out = out + F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
+    return out
 
 
 def _signatures(ordered: DataFrame, percent: int, frequent: int) -> DataFrame:
@@ -120,8 +136,9 @@ def _signatures(ordered: DataFrame, percent: int, frequent: int) -> DataFrame:
 
 
 def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs at least twice; the count is pre-aggregated, and Spark may split a hot key of this join."""
-    return rows.join(rows.groupBy(key).count().where("count > 1").select(key), key)
+    """Rows whose key occurs at least twice: the counts are written first, so that Spark may split a hot key of the join."""
+    met = Table(rows.groupBy(key).count().where("count > 1").select(key), "met")
+    return rows.join(met.df, key)
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -182,9 +199,9 @@ def _link(src: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
     fits = lambda x, y: F.least(x["most"], y["most"]) * 100 >= (x["n"] + y["n"] - F.least(x["most"], y["most"])) * percent
 
     # each class with the hub of the bucket that has the best one
-    hubs = index.df.groupBy("key").agg(F.min(F.struct("rares", "rep", "n", "most")).alias("hub"))
+    hubs = Table(index.df.groupBy("key").agg(F.min(F.struct("rares", "rep", "n", "most")).alias("hub")), "hubs")
     x, y = index.df, F.col("hub")
-    star = x.join(hubs, "key").where((F.col("rep") != F.col("hub.rep")) & fits({"most": F.col("most"), "n": F.col("n")}, {"most": F.col("hub.most"), "n": F.col("hub.n")}))
+    star = x.join(hubs.df, "key").where((F.col("rep") != F.col("hub.rep")) & fits({"most": F.col("most"), "n": F.col("n")}, {"most": F.col("hub.most"), "n": F.col("hub.n")}))
     star = star.groupBy("rep").agg(F.min(F.struct(y["rares"], y["rep"])).alias("hub")).select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
     first = Table(_verified(star, tokens.df, percent), "first")
     own = components(first.df)
@@ -194,11 +211,13 @@ def _link(src: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
     placed = Table(placed, "placed")
     sizes = placed.df.groupBy("key", "component").count()
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    mixed = placed.df.join(main, "key")
-    l, r = mixed.where("component <> main").alias("l"), mixed.alias("r")
+    main = Table(main, "main")
+    mixed = Table(placed.df.join(main.df, "key").join(tokens.df.select("rep", "odd"), "rep"), "mixed")
+    l, r = mixed.df.where("component <> main").alias("l"), mixed.df.alias("r")
     apart = (F.col("l.component") != F.col("r.component")) & ((F.col("r.component") == F.col("r.main")) | (F.col("l.rep") < F.col("r.rep")))
     side = lambda s: {"most": F.col(f"{s}.most"), "n": F.col(f"{s}.n")}
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & apart & fits(side("l"), side("r")))
+    alike = _differing(F.col("l.odd"), F.col("r.odd")) * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent)
+    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & apart & fits(side("l"), side("r")) & alike)
     pairs = pairs.select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct()
     second = Table(_verified(pairs, tokens.df, percent), "second")
 
@@ -206,6 +225,6 @@ def _link(src: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
     home = components(links).select(F.col("node").alias("rep"), "component")
     whole = classes.df.join(home, "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = sets.df.join(whole, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    for t in (tokens, rows, index, first, placed, second, onward, copies):
+    for t in (tokens, rows, index, hubs, first, placed, main, mixed, second, onward, copies):
         t.drop()
     return out
