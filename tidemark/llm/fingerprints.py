@@ -17,12 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import Table
 from .shingles import shingle_sets
 
 K = 128
 WORDS = 5
 #: Rows that one range bucket of `with_next` is meant to hold.
 BUCKET_ROWS = 20_000
+#: Buckets that are put in order together.
+BLOCK = 1024
 
 
 def sketch(texts: list[str | None], k: int = K, words: int = WORDS) -> list[np.ndarray]:
@@ -133,20 +136,32 @@ def _buckets(docs: DataFrame) -> tuple[F.Column, int]:
     return F.coalesce(F.lit(total - 1) - (at * fine + part), F.lit(total)).cast("int"), total + 1
 
 
+def _before(heads: DataFrame) -> Table:
+    """`hb, head, prior` of `b, head`: each bucket that has rows and the one before it, the last before the first.
+
+    Buckets are ordered within blocks of `BLOCK` buckets; to the driver comes one
+    number a block.
+    """
+    heads = Table(heads.withColumn("block", F.floor(F.col("b") / BLOCK)), "heads")
+    lasts = heads.df.groupBy("block").agg(F.max("b").alias("last")).orderBy("block").collect()
+    rows = [(r.block, lasts[i - 1].last) for i, r in enumerate(lasts)]
+    earlier = heads.spark.createDataFrame(rows, "block bigint, last int")
+    within = F.lag("b").over(Window.partitionBy("block").orderBy("b"))
+    return Table(heads.df.join(F.broadcast(earlier), "block").select(F.col("b").alias("hb"), "head", F.coalesce(within, "last").alias("prior")), "before")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows for `pair_up`: `__bucket, __tail, doc_id, text`, one partition a bucket, sorted by descending doc_id (nulls last; equal ids by descending text).
 
     The first row of each bucket is also sent, as a tail, to the bucket before it,
-    the very first one to the last bucket. Texts are shuffled once; to the driver
-    comes one id a bucket.
+    the very first one to the last bucket. Texts are shuffled once as long as the
+    buckets' first ids (one row for each `BUCKET_ROWS` documents) can be broadcast.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bucket, n = _buckets(docs)
-    heads = docs.select("doc_id", bucket.alias("b")).groupBy("b").agg(F.max("doc_id").alias("head")).orderBy("b").collect()
-    spark = docs.sparkSession
-    rows = [(r.b, r.head, heads[i - 1].b) for i, r in enumerate(heads)]
-    before = spark.createDataFrame(rows, "hb int, head bigint, prior int")
-    based = docs.withColumn("b", bucket).join(F.broadcast(before), (F.col("b") == F.col("hb")) & F.col("doc_id").eqNullSafe(F.col("head")), "left")  # one row a bucket
+    before = _before(docs.select("doc_id", bucket.alias("b")).groupBy("b").agg(F.max("doc_id").alias("head")))
+    before = F.broadcast(before.df) if before.small() else before.df  # one row a bucket
+    based = docs.withColumn("b", bucket).join(before, (F.col("b") == F.col("hb")) & F.col("doc_id").eqNullSafe(F.col("head")), "left")
     own = F.struct(F.col("b").alias("b"), F.lit(False).alias("t"))
     to = F.when(F.col("prior").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("prior").alias("b"), F.lit(True).alias("t"))))
     sent = based.select("doc_id", "text", F.explode(to).alias("to")).select(F.col("to.b").alias("__bucket"), F.col("to.t").alias("__tail"), "doc_id", "text")

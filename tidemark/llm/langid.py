@@ -20,6 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import Table
+from .shingles import slices
+
 DIM = 1 << 13
 #: Documented bound of the fit: labelled rows of each language.
 PER_LANG = 400
@@ -137,18 +140,21 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
-    """From `doc_id, text, lang`: at most `per_lang` rows of each language that are not held out."""
+    """From `doc_id, text, lang`: at most `per_lang` ids of each language that are not held out, of each the first text in order."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     # a share of each language by hash first, so that few rows are ranked however many there are
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("__n"))
+    sizes = Table(rows.groupBy("lang").agg(F.count("*").alias("__n")), "languages")
+    sizes = F.broadcast(sizes.df) if sizes.small() else sizes.df  # one row a language
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     some = rows.select("doc_id", "lang").join(sizes, "lang").where(spread / F.lit(float(1 << 30)) <= F.lit(4.0 * per_lang) / F.col("__n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(spread, "doc_id"))
     chosen = some.select("doc_id", "lang", rank.alias("__rank")).where(F.col("__rank") <= per_lang).select("doc_id", "lang").distinct()
-    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # per_lang rows a language
+    chosen = Table(chosen, "chosen")
+    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen.df) if chosen.small() else chosen.df, ["doc_id", "lang"])  # per_lang rows a language
+    sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # one row an id, however often it stands there
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             idx, val = [], []
             for counts in gram_counts(texts):
@@ -170,14 +176,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """`doc_id, held_out, lang_pred, score, rejected` of every row; only the text is used to predict.
 
     A text that is null, empty or without a letter gives `und`, 0 and rejected;
-    so does any text if no labelled row was there to learn from.
+    so does any text if no labelled row was there to learn from. Rows that are
+    equal get equal results, texts of any length are read whole, an empty table
+    gives one; columns other than `doc_id` and `text` are dropped.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             lang, score, rejected = m.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 

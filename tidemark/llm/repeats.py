@@ -319,13 +319,15 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     src = src.select("id", F.xxhash64("text", "id").alias("tag"), "text")
     long = src.where(F.octet_length("text") >= LENGTH)
     found = Table(_anchors(long), "anchors")
-    counts = found.df.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    # written, so that Spark may split a hot anchor of the join
+    counts = Table(found.df.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "counts")
     each = found.df.select("id", "tag", F.explode(F.arrays_zip("h", "spot", "first", "n")).alias("a"))
-    each = each.select("id", "tag", "a.h", "a.spot", "a.first", "a.n").join(counts.select("h", (F.col("c") > HOT).alias("hot")), "h")
+    each = each.select("id", "tag", "a.h", "a.spot", "a.first", "a.n").join(counts.df.select("h", (F.col("c") > HOT).alias("hot")), "h")
     # rows equal in id and text share a tag; both are counted, and both get the marks
     per_doc = each.groupBy("id", "tag").agg(F.collect_set(F.struct("h", "spot", "first", "n", "hot")).alias("f"))
     per_doc = Table(per_doc.select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), *[F.col(f"f.{c}").alias(c) for c in ("h", "spot", "first", "n", "hot")]), "repeated")
     found.drop()
+    counts.drop()
     same = (F.col("tag") == F.col("__tag")) & F.col("id").eqNullSafe(F.col("__id"))
     rows = long.join(per_doc.df, same).select("id", "tag", "text", "h", "spot", "first", "n", "hot")
     seen = Table(_segments(rows), "segments")
