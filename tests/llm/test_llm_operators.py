@@ -136,8 +136,14 @@ def test_langid_without_rows(docs, empty):
 
 def brute_contained(pairs, items, t=0.8):
     words = lambda x: [w for w in re.split(r"[\W_]+", x.lower()) if w]
-    five = lambda x: {tuple(w[i : i + 5]) for w in [words(x)] for i in range(len(w) - 4)}
-    return {(d, k): round(len(s & five(x)) / len(s), 9) for k, y in items if (s := five(y)) for d, x in pairs if d is not None and len(s & five(x)) >= t * len(s)}
+    grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    out = {}
+    for k, y in items:
+        if y and k is not None and (own := words(y)):
+            size = min(5, len(own))
+            s = grams(own, size)
+            out |= {(d, k): round(len(s & grams(words(x), size)) / len(s), 9) for d, x in pairs if d is not None and len(s & grams(words(x), size)) >= t * len(s)}
+    return out
 
 
 def test_decontamination(spark, docs, pairs, texts):
