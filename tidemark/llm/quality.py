@@ -29,7 +29,7 @@ MAX_LABELS = 6000
 #: Features in fewer training texts than this keep weight 0.
 LEAST_TEXTS = 4
 STEPS = 250
-DECAY = 2e-4
+DECAY = 2e-5
 CUT = 0.5
 
 
@@ -50,12 +50,13 @@ def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray,
                 c = padded[at + j]
                 open_ &= c != 32
                 head = head * U64(257) + np.where(open_, c, U64(0))
-            same = np.concatenate(([False], words[1:] == words[:-1]))
+            of = np.searchsorted(ends, at, "right")
+            same = np.concatenate(([False], (words[1:] == words[:-1]) & (of[1:] == of[:-1])))
             parts += [(at, words), (at, mix(head + U64(11 << 40))), (at[same], np.full(same.sum(), 7, U64))]
         at, _ = word_hashes(buf)
         if len(at):
-            stop = np.concatenate((at[1:], [len(buf)])) - 1
-            last = buf[np.maximum(stop - 1, at)].astype(U64)
+            blank = np.flatnonzero((buf == 32) | ((buf >= 9) & (buf <= 13)))
+            last = buf[blank[np.searchsorted(blank, at)] - 1].astype(U64)  # a mark behind each text ends its last word
             upper = ((buf[at] >= 65) & (buf[at] <= 90)).astype(U64) + 2 * ((buf[np.minimum(at + 1, len(buf) - 1)] >= 65) & (buf[np.minimum(at + 1, len(buf) - 1)] <= 90)).astype(U64)
             mark = np.where((last >= 97) & (last <= 122) | (last >= 0x80), U64(1), last)
             parts.append((at, mix(mark * U64(4) + upper + U64(13 << 40))))
@@ -127,9 +128,10 @@ def grades(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, graded: DataFrame, max_labels: int = MAX_LABELS) -> Model:
-    """`graded` has `doc_id, grade`; at most `max_labels` of its rows are used. Without rows every text gets the same score."""
+    """`graded` has `doc_id, grade`; at most `max_labels` of its rows are used, with the first text in order of each id. Without rows every text gets the same score."""
     chosen = graded.select("doc_id", "grade").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # max_labels rows
+    sample = sample.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))  # one row an id, however often it stands there
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -152,6 +154,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """The input's columns with `expected_grade double, p_good double`; columns of these names are replaced.
 
     A null text is an empty one, and an empty one has no features: its score comes from the thresholds alone.
+    Equal texts get equal scores, texts of any length are read whole, an empty table gives one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("expected_grade", "p_good")]
