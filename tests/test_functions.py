@@ -168,16 +168,26 @@ def test_scores(spark):
     assert one(spark, fuzzy.unaccent_exact(F.lit("Ŝé"))) == "Se"
 
 
-FORM = "Jenis \nTransaksi\nPenjualan\nTidak\nLangsung\n-\n500.000,00\nSaham \nBiasa\n112,00\n09-Jan-\n2026\nInvestasi\nPembelian\n-\n1.000,00\nSaham\n50,50\n10-Jan-2026\njangka\npanjang\nSaya bertanggung jawab penuh\n"
+HEAD = "Jenis \nTransaksi\nRepurchase \nAgreement\nStatus \nKepemilikan\nHarga \n(Rp)\nTanggal \nTransaksi\nTujuan \nTransaksi\n"
+FORM = (
+    "Nama (sesuai SID)\n: DANA PENSIUN PT BANK DAERAH\nNama Perusahaan Tbk\n: YOII - ASURANSI DIGITAL  BERSAMA Tbk, PT\nJumlah Saham Sebelum Transaksi\n: 291.968.700,00 Unit\nHak Suara Sebelum Transaksi\n: 8,5222%\n"
+    "Jumlah Saham Setelah Transaksi\n: 291.468.700,00 Unit\nHak Suara Setelah Transaksi\n: 8,5076%\n" + HEAD + "Penjualan\nTidak\nLangsung\n-\n-\n500.000,00\nSaham \nBiasa\n112,00\n09-Jan-\n2026\nHasil\nPenjualan\nlama\nsekali\ndan\nseterusnya\nsampai\nakhir\ntahun\nini\n"
+    "Pelaksanaan\n(exercise)\nhak\nYa\n1.000,00\nSaham\n50,50\n10-Jan-2026\njangka\npanjang\n" + HEAD + "Pembelian\nTidak\n7,00\nSaham\n1,00\n11 Feb\n2026\nInvestasi\nSaya bertanggung jawab penuh\nPenjualan\nTidak\n9,00\nSaham\n9,00\n"
+)
 
 
 def test_form(spark):
     assert forms.read_form(FORM) == [
-        {"type": "penjualan", "amount": 500000, "price": 112.0, "date": "09-Jan-2026", "purpose": "Investasi"},
-        {"type": "pembelian", "amount": 1000, "price": 50.5, "date": "10-Jan-2026", "purpose": "jangka panjang"},
+        {"type": "penjualan", "amount": 500000, "price": 112.0, "date": "09-Jan-2026", "purpose": "Hasil Penjualan lama sekali dan seterusnya sampai akhir tahun ini"},
+        {"type": "pelaksanaan (exercise) hak", "amount": 1000, "price": 50.5, "date": "10-Jan-2026", "purpose": "jangka panjang"},
+        {"type": "pembelian", "amount": 7, "price": 1.0, "date": "11-Feb-2026", "purpose": "Investasi"},
     ]
-    assert forms.read_form(None) == [] and forms.read_form("Saham") == []
+    assert forms.read_form(None) == [] and forms.read_form("Saham") == [] and forms.read_form(HEAD) == [] and forms.read_form(HEAD + "Pembelian\nTidak\n1,00\nSaham") == [{"type": "pembelian", "amount": 1, "price": None, "date": None, "purpose": None}]
     rows = forms.form_transactions(spark.createDataFrame([(1, FORM), (2, None)], "doc_id int, text string")).orderBy("pos").collect()
-    assert [(r.type, r.date) for r in rows] == [("sell", "2026-01-09"), ("buy", "2026-01-10")]
+    assert [(r.type, r.date) for r in rows] == [("sell", "2026-01-09"), ("others", "2026-01-10"), ("buy", "2026-02-11")]
+    assert one(spark, forms.form_holder(F.lit(FORM))) == "Dana Pensiun PT Bank Daerah"
+    assert tuple(one(spark, forms.form_issuer(F.lit(FORM)))) == ("YOII.JK", "ASURANSI DIGITAL BERSAMA Tbk")
+    assert tuple(one(spark, forms.form_holdings(F.lit(FORM)))) == (291968700, 291468700, 8.522, 8.508)
+    assert tuple(one(spark, forms.form_issuer(F.lit("x")))) == (None, None) and one(spark, forms.form_holder(F.lit("x"))) is None
     assert forms.json_blocks('a={"k":"}{\\""} b={"x":{"y":1}} {bad}') == ['{"k":"}{\\""}', '{"x":{"y":1}}']
     assert one(spark, forms.emiten_code(F.lit("Nama Perusahaan Tbk\n: YOII - ASURANSI Tbk"))) == "YOII"

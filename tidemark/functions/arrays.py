@@ -97,3 +97,36 @@ def attachment_url(att: Column, keys=("url", "link", "href", "FullSavePath", "fu
     v = F.try_parse_json(att)
     http = lambda c: F.when(c.rlike("(?i)^https?://"), c)
     return F.coalesce(*[http(F.try_variant_get(v, f"$.{k}", "string")) for k in keys], http(att))
+
+
+def first_numbers(text: Column, least: int = 100, most: int = 5) -> Column:
+    """The first whole numbers of a text that are not below `least`, thousands grouped or not."""
+    found = F.regexp_extract_all(text, F.lit(r"([0-9]{1,3}(?:[.,][0-9]{3})+|[0-9]+)"), F.lit(1))
+    values = F.transform(found, lambda x: F.translate(x, ".,", "").try_cast("long"))
+    return F.slice(F.filter(values, lambda v: v >= least), 1, most)
+
+
+def paired(prices: Column, amounts: Column) -> Column:
+    """array<struct<price,amount>> as long as the shorter one, of prices above zero and amounts that aren't negative."""
+    p, a = F.filter(prices, lambda x: x > 0), F.filter(amounts, lambda x: x >= 0)
+    n = F.least(F.size(p), F.size(a))
+    return F.slice(F.arrays_zip(p.alias("price"), a.alias("amount")), F.lit(1), F.greatest(n, F.lit(0)))
+
+
+def prices_and_amounts(raw: Column, prices: Column, amounts: Column, price: Column, amount: Column) -> Column:
+    """Pairs for an article: of the stored block, else of the row's arrays, else of its single values."""
+    txs = parse_transactions(raw)
+    block = paired(F.transform(txs, lambda t: t["price"]), F.transform(txs, lambda t: t["amount"]))
+    some = lambda c: F.when(F.size(c) > 0, c)
+    return F.coalesce(some(block), some(paired(prices, amounts)), paired(F.array(price.cast("double")), F.array(amount.cast("long"))))
+
+
+def stable_json(items: Column) -> Column:
+    """JSON of an array of structs in order, so that equal multisets have equal texts."""
+    return F.to_json(F.array_sort(items))
+
+
+def merged_symbols(*lists: Column) -> Column:
+    """Trimmed upper-case symbols of all lists, each once, sorted."""
+    every = F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in lists])
+    return F.array_sort(F.array_distinct(F.filter(F.transform(every, lambda t: F.upper(F.trim(t))), lambda t: t.isNotNull() & (t != ""))))

@@ -176,13 +176,29 @@ def escape_html(x: Column) -> Column:
 
 
 def abbreviated(x: Column) -> Column:
-    """T, B, M or K with one decimal, '.0' left out."""
+    """T, B, M or K with one decimal, '.0' left out; a dash for null."""
 
     def part(unit: float, mark: str) -> Column:
         return F.concat(F.regexp_replace(F.format_string("%.1f", x / F.lit(unit)), r"\.0$", ""), F.lit(mark))
 
     size = F.abs(x)
-    return F.when(size >= 1e12, part(1e12, "T")).when(size >= 1e9, part(1e9, "B")).when(size >= 1e6, part(1e6, "M")).when(size >= 1e3, part(1e3, "K")).otherwise(F.regexp_replace(F.format_string("%.1f", x.cast("double")), r"\.0$", ""))
+    return F.when(x.isNull(), "-").when(size >= 1e12, part(1e12, "T")).when(size >= 1e9, part(1e9, "B")).when(size >= 1e6, part(1e6, "M")).when(size >= 1e3, part(1e3, "K")).otherwise(F.regexp_replace(F.format_string("%.1f", x.cast("double")), r"\.0$", ""))
+
+
+def abbreviated_idr(x: Column) -> Column:
+    """The short form of an amount behind 'IDR'; a dash without one."""
+    return F.concat(F.lit("IDR "), abbreviated(x))
+
+
+def percent_text(x: Column) -> Column:
+    """Two decimals; a dash for null."""
+    return F.when(x.isNull(), "-").otherwise(F.format_string("%.2f", x.cast("double")))
+
+
+def title_words(x: Column, keep: int = 3) -> Column:
+    """Words capitalised, upper-case ones of up to `keep` letters left as they are; empty for null."""
+    words = F.filter(F.split(F.trim(F.coalesce(x, F.lit(""))), r"\s+"), lambda w: w != "")
+    return F.array_join(F.transform(words, lambda w: F.when((F.length(w) <= keep) & w.rlike(r"^\p{Lu}+$"), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w)))))), " ")
 
 
 def dotted(x: Column) -> Column:

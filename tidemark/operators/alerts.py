@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import symbol
+from .lookup import last_wins
+
 # Severity and stage-independent default message of each alert code.
 CODES = {
     "low_title_similarity": ("fatal", "Announcement title and document name have low similarity."),
@@ -77,6 +80,35 @@ def top_codes(alerts: DataFrame, k: int = 5) -> DataFrame:
     return alerts.groupBy("code").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code").limit(k)
 
 
+def attachment_link(attachments: Column, filename: Column, main_link: Column) -> Column:
+    """The url of the attachment with a document's file name, else the announcement's own link."""
+    name = F.lower(F.trim(filename))
+    hit = F.get(F.filter(attachments, lambda a: (F.lower(F.trim(a["filename"])) == name) & (name != "")), F.lit(0))
+    return F.coalesce(F.nullif(hit["url"], F.lit("")), main_link)
+
+
+def symbol_mismatch(by_name: Column, code: Column) -> Column:
+    """Whether a document's own code is another symbol than its company's name gives (J13); no code is no mismatch."""
+    own = F.upper(F.trim(code))
+    return F.coalesce(own.rlike(r"^[A-Z]{3,4}(\.JK)?$") & (symbol(own) != symbol(by_name)), F.lit(False))
+
+
+def parser_alerts(found: DataFrame, announcements: DataFrame) -> DataFrame:
+    """Alerts of the parser stage with the announcement's title, company and link.
+
+    `found` has `filename, code` and, if known, `severity, message, reasons, needs_review`;
+    `announcements` has `filename, title, company_name, date, main_link, attachments`,
+    of which the last one by date counts for a file. A fatal alert means that the
+    document is not inserted, any other that it is, for review.
+    """
+    doc = last_wins(announcements.withColumn("__file", F.lower(F.trim("filename"))).select("__file", "title", "company_name", F.col("date").alias("published_at"), "main_link", "attachments"), ["__file"], ["published_at", "main_link"])
+    out = with_defaults(found.withColumn("__file", F.lower(F.trim("filename")))).join(doc, "__file", "left")
+    out = out.withColumn("url", attachment_link(F.col("attachments"), F.col("filename"), F.col("main_link")))
+    review = F.coalesce(F.col("needs_review"), F.lit(True)) if "needs_review" in found.columns else F.lit(True)
+    fatal = F.lower("severity") == "fatal"
+    return out.drop("__file", "attachments", "main_link").withColumns({"stage": F.lit("parser"), "category": F.when(fatal, "not_inserted").otherwise("inserted"), "needs_review": fatal | review})
+
+
 def actionable(needs_review: Column, reasons: Column) -> Column:
     return F.coalesce(needs_review, F.lit(False)) | (F.coalesce(F.size(reasons), F.lit(0)) > 0)
 

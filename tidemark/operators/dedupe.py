@@ -24,8 +24,11 @@ def canonical_float(x: Column, places: int = 6) -> Column:
 
 
 def filing_hash(strings: list[Column], numbers: list[Column], day: Column) -> Column:
-    """sha256 of one canonical line: texts trimmed and lower-cased, numbers with six decimals, nulls empty."""
-    text = [F.lower(F.trim(F.coalesce(s.cast("string"), F.lit("")))) for s in strings]
+    """sha256 of one canonical line: texts trimmed and lower-cased, numbers with six decimals, nulls empty.
+
+    A backslash goes before a bar or backslash inside a text, so that fields cannot run into each other.
+    """
+    text = [F.regexp_replace(F.lower(F.trim(F.coalesce(s.cast("string"), F.lit("")))), r"([|\\\\])", r"\\$1") for s in strings]
     return F.sha2(F.concat_ws("|", *text, *[canonical_float(n) for n in numbers], F.coalesce(F.substring(day.cast("string"), 1, 10), F.lit(""))), 256)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import publish_time
 from ..functions.text import basename, safe_filename, slug
 
+# Columns that a filing must have.
 REQUIRED = ["symbol", "timestamp", "holder_name", "transaction_type"]
 # The columns that the filings table takes.
 ALLOWED = [
@@ -15,6 +16,7 @@ ALLOWED = [
     "share_percentage_before", "share_percentage_after", "share_percentage_transaction", "price", "transaction_value",
     "price_transaction", "title", "body", "source", "sector", "sub_sector", "tags", "holder_type", "source_is_manual",
 ]
+# Skip reasons by which a row is not inserted.
 SKIPPED = ["mixed_transaction_type", "transfer_only_transaction"]
 
 
@@ -106,6 +108,19 @@ def trimmed_announcement(a: str = "announcement") -> Column:
     return F.struct(*[F.col(f"{a}.{k}").alias(k) for k in keep])
 
 
+def in_source_order(*parts: DataFrame) -> DataFrame:
+    """The chunks one after the other as `src_seq` says; columns that one lacks are null there."""
+    out = parts[0].withColumn("src_seq", F.lit(0))
+    for i, part in enumerate(parts[1:], 1):
+        out = out.unionByName(part.withColumn("src_seq", F.lit(i)), allowMissingColumns=True)
+    return out
+
+
+def distinct_names(rows: DataFrame, name: str) -> DataFrame:
+    """Trimmed names, each once, without blanks."""
+    return rows.select(F.trim(name).alias(name)).where(F.col(name) != "").distinct()
+
+
 def is_weekend(day: Column) -> Column:
     return F.dayofweek(day).isin(1, 7)
 

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.numbers import locale_number
 
 # Words of the bilingual form.
-FORM_STARTS = ("penjualan", "pembelian", "pelaksanaan", "lainnya", "koreksi")
-FORM_ENDS = ("saya bertanggung jawab", "keterangan pengendali", "jika ya")
-FORM_SKIPS = ("jenis", "transaksi", "klasifikasi", "harga", "tanggal", "tujuan", "jumlah", "kepemilikan")
+FORM_TYPES = ("Penjualan", "Pembelian", "Lainnya", "Koreksi", "Pelaksanaan", "(exercise)")
+FORM_MARKS = ("Tidak", "Ya", "Langsung")
+FORM_ENDS = ("Pemberi", "Keterangan", "Jika", "Nama pemegang", "Informasi", "Saya bertanggung", "Hak Suara")
+FORM_HEAD, FORM_HEAD_END = ("Jenis", "Transaksi"), ("Tujuan", "Transaksi")
 
 
 def text_lines(text: Column) -> Column:
@@ -53,6 +54,19 @@ def declared_type(text: Column, within: int = 7) -> Column:
     return F.when(at > 0, F.when(near.rlike(r"\b(buy|purchase)\b"), "buy").when(near.rlike(r"\b(sell|sale)\b"), "sell"))
 
 
+def title_and_reporter(text: Column) -> Column:
+    """struct<title, reporter>: the line that names the report, and what stands behind the last colon of the registrar's line, else UNKNOWN."""
+    lines = F.filter(text_lines(text), lambda x: x != "")
+    line = lambda word: F.get(F.filter(lines, lambda x: F.upper(x).contains(word)), F.lit(0))
+    bae = line("BAE")
+    return F.struct(F.coalesce(line("LAPORAN KEPEMILIKAN EFEK"), F.lit("")).alias("title"), F.when(bae.contains(":"), F.trim(F.element_at(F.split(bae, ":"), -1))).otherwise("UNKNOWN").alias("reporter"))
+
+
+def flattened(results: DataFrame, rows: str = "rows") -> DataFrame:
+    """One row for each parsed row of a file; files without any go."""
+    return results.select(*[c for c in results.columns if c != rows], F.explode(rows).alias("__r")).select(*[c for c in results.columns if c != rows], "__r.*")
+
+
 def issuer_name(text: Column) -> Column:
     """The labelled issuer, else 'PT … Tbk' anywhere."""
     some = lambda p: F.nullif(F.trim(F.regexp_extract(text, p, 1)), F.lit(""))
@@ -85,41 +99,106 @@ def _number(s: str) -> float | None:
         return None
 
 
+def _pairs(lines: list[str], pair: tuple[str, str]) -> list[int]:
+    return [i for i in range(len(lines) - 1) if (lines[i], lines[i + 1]) == pair]
+
+
+def _tables(lines: list[str]) -> list[list[str]]:
+    """The cells behind each header of the table; a footer ends the last one."""
+    heads = _pairs(lines, FORM_HEAD)
+    if not heads:
+        return []
+    ends = _pairs(lines, FORM_HEAD_END)
+    stop = next((i for i in range(heads[0], len(lines)) if lines[i].startswith(FORM_ENDS)), len(lines))
+    cut = []
+    for head, after in zip(heads, [*heads[1:], stop], strict=True):
+        end = next((e + 2 for e in ends if head <= e < after), None)
+        if end is None:  # a header that was cut off: cells begin with a type word
+            end = next((i for i in range(head, after) if lines[i] in FORM_TYPES), after)
+        cut.append(lines[end : min(after, stop)])
+    return cut
+
+
+def _starts(cells: list[str]) -> list[tuple[int, int]]:
+    """Where transactions begin and where their type ends: a type word counts only if Tidak, Ya or Langsung follows within nine cells."""
+    out, i = [], 0
+    while i < len(cells):
+        if cells[i] in FORM_TYPES and any(x in FORM_MARKS for x in cells[i + 1 : i + 10]):
+            kind_end = next((k for k in range(i + 1, len(cells)) if cells[k] in FORM_MARKS[:2]), len(cells))
+            out.append((i, kind_end))
+            i = kind_end
+        i += 1
+    return out
+
+
+def _is_amount(cell: str) -> bool:
+    return "," in cell and any(c.isdigit() for c in cell)
+
+
+def _date(cells: list[str]) -> tuple[str | None, int]:
+    """The first date, which may be broken over up to five cells, and the place behind it."""
+    import re
+
+    first = next((i for i, c in enumerate(cells) if re.match(r"\d{1,2}[\s-]", c)), None)
+    if first is None:
+        return None, 0
+    for size in range(1, 6):
+        parts = cells[first : first + size]
+        if parts[-1:] and re.search(r"(^|[\s-])\d{4}$", parts[-1]):
+            return re.sub(r"[\s-]+", "-", " ".join(parts)), first + size
+    return re.sub(r"[\s-]+", "-", " ".join(cells[first : first + 5])), min(first + 5, len(cells))
+
+
 def read_form(text: str | None) -> list[dict]:
     """Transactions of the new form, whose table cells come as lines.
 
-    A block begins with a line that has a type word. The amount is the number
-    above the line 'Saham …'; the next number is the price; a date may be broken
-    after its last hyphen; what follows up to the next block or the footer is the
-    purpose.
+    The amount is the number above a cell 'Saham', the price the next number, then
+    comes the date; what is left up to the next transaction, header or footer is the
+    purpose. A type may take several cells.
     """
-    import re
-
-    lines = [x.strip() for x in (text or "").split("\n")]
-    lines = [x for x in lines if x]
-    low = [x.lower() for x in lines]
-    stops = [i for i, x in enumerate(low) if x.startswith(FORM_ENDS)]
-    starts = [i for i, x in enumerate(low) if x.startswith(FORM_STARTS) and not x.startswith(":")]
+    lines = [x for x in (y.strip() for y in (text or "").split("\n")) if x]
     out = []
-    for n, i in enumerate(starts):
-        end = min([starts[n + 1] if n + 1 < len(starts) else len(lines), *[s for s in stops if s > i]])
-        block = lines[i:end]
-        share = next((k for k, x in enumerate(block) if x.lower().startswith("saham")), None)
-        if share is None or share == 0 or (amount := _number(block[share - 1])) is None:
-            continue
-        price_at = next((k for k in range(share + 1, min(share + 11, len(block))) if re.fullmatch(r"[0-9.]*[0-9](,[0-9]+)?", block[k])), None)
-        price = _number(block[price_at]) if price_at is not None else None
-        at = (price_at or share) + 1
-        date, used = None, at
-        joined = "".join(block[at : at + 2])
-        for take, s in ((1, block[at] if at < len(block) else ""), (2, joined)):
-            if m := re.match(r"(\d{1,2})-([A-Za-z]{3})[a-z]*-\s*(\d{4})$", s):
-                date, used = f"{m[1].zfill(2)}-{m[2]}-{m[3]}", at + take
-                break
-        out.append({"type": block[0].lower().split()[0], "amount": int(amount), "price": price, "date": date, "purpose": " ".join(block[used:]) or None})
+    for cells in _tables(lines):
+        starts = _starts(cells)
+        for (at, kind_end), (end, _) in zip(starts, [*starts, (len(cells), 0)][1:], strict=True):
+            block = cells[kind_end + 1 : end]
+            share = next((k for k in range(1, len(block)) if block[k] == "Saham" and _is_amount(block[k - 1])), None)
+            if share is None or (amount := _number(block[share - 1])) is None:
+                continue
+            rest = block[share + 1 :]
+            price = next((k for k, c in enumerate(rest[:10]) if _is_amount(c)), 0)
+            date, behind = _date(rest[price + 1 :])
+            purpose = " ".join(rest[price + 1 + behind :])
+            out.append({"type": " ".join(cells[at:kind_end]).lower(), "amount": int(amount), "price": _number(rest[price]) if rest else None, "date": date, "purpose": purpose or None})
     return out
 
 
+def form_holder(text: Column) -> Column:
+    """The holder behind 'Nama (sesuai SID)', words capitalised, PT upper-case."""
+    name = F.nullif(F.trim(F.regexp_extract(text, r"(?i)Nama \(sesuai SID\)\s*:\s*([^\n]+)", 1)), F.lit(""))
+    return F.regexp_replace(F.initcap(name), r"\bPt\b", "PT")
+
+
+def form_issuer(text: Column) -> Column:
+    """struct<symbol, company_name> behind 'Nama Perusahaan Tbk' (R15)."""
+    pattern = r"(?s)Nama Perusahaan Tbk\s*:\s*([A-Z]+)\s*-\s*(.+?)(?=Tbk|PT|Jumlah Saham)(.{0,20})"
+    part = lambda i: F.regexp_extract(text, pattern, i)
+    name = F.regexp_replace(F.regexp_replace(F.trim(part(2)), r"\s+", " "), r"[,\s]+$", "")
+    full = F.when(part(3).contains("Tbk"), F.concat(name, F.lit(" Tbk"))).otherwise(name)
+    return F.struct(F.when(part(1) != "", F.concat(part(1), F.lit(".JK"))).alias("symbol"), F.when(part(1) != "", full).alias("company_name"))
+
+
+def form_holdings(text: Column) -> Column:
+    """struct of shares before and after, and of voting rights in percent with three decimals."""
+    some = lambda label, chars: F.nullif(F.regexp_extract(text, rf"(?i){label}\s*:\s*({chars}+)", 1), F.lit(""))
+    count = lambda label: F.replace(F.replace(some(label, r"[\d.,]"), F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double").try_cast("long")
+    share = lambda label: F.round(F.replace(some(label, r"[\d,]"), F.lit(","), F.lit(".")).try_cast("double"), 3)
+    return F.struct(
+        count("Jumlah Saham Sebelum Transaksi").alias("holding_before"), count("Jumlah Saham Setelah Transaksi").alias("holding_after"),
+        share("Hak Suara Sebelum Transaksi").alias("share_percentage_before"), share("Hak Suara Setelah Transaksi").alias("share_percentage_after"),
+    )
+
+
 def form_transactions(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
     """`id, pos, type, amount, price, date, purpose` of every transaction in the new form's texts."""
     from ..functions.dates import short_month_date

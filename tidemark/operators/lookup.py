@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import basename, company_key, kebab, pretty_company, stem, symbol_base
 
-#: A dimension is broadcast up to so many rows; beyond it Spark chooses.
+#: A dimension is broadcast up to so many rows and bytes; beyond it Spark chooses.
 SMALL_ROWS = 200_000
+SMALL_BYTES = 16 << 20
 
 
 def small(dim: DataFrame) -> DataFrame:
-    """The dimension with a broadcast hint if a bounded count shows that it is small."""
-    return F.broadcast(dim) if dim.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else dim
+    """The dimension with a broadcast hint if a bounded count of its rows and of their bytes as JSON shows that it is small."""
+    rows, size = dim.limit(SMALL_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dim.columns])))), F.lit(0))).first()
+    return F.broadcast(dim) if rows <= SMALL_ROWS and size <= SMALL_BYTES else dim
 
 
 def last_wins(rows: DataFrame, key: list[str], seq: list[str]) -> DataFrame:
@@ -43,9 +45,15 @@ def alias_join(left: DataFrame, id_: str, names: list[str], index: DataFrame, ca
     return left.join(best, id_, "left").select(*left.columns, *[F.col(f"__hit.{c}").alias(c) for c in carry])
 
 
+def _one_a_base(companies: DataFrame) -> DataFrame:
+    """Company columns by `__k`, the symbol without suffix; of several rows the one with the last symbol, then the last values."""
+    rest = [c for c in companies.columns if c != "symbol"]
+    return last_wins(companies.withColumn("__k", symbol_base(F.col("symbol"))), ["__k"], ["symbol", *rest]).drop("symbol")
+
+
 def company_join(rows: DataFrame, companies: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Company columns by symbol with or without suffix (J6, X4, X5), prices under any of their names."""
-    dim = companies.withColumn("__k", symbol_base(F.col("symbol"))).drop("symbol").dropDuplicates(["__k"])
+    dim = _one_a_base(companies)
     return rows.withColumn("__k", symbol_base(F.col(symbol))).join(small(dim), "__k", "left").drop("__k")
 
 
@@ -68,7 +76,7 @@ def ticker_in_text(text: Column) -> Column:
 def resolve(rows: DataFrame, id_: str, text: str, name: str, companies: DataFrame, fuzzy_best: DataFrame | None = None) -> DataFrame:
     """`symbol, display_name` by exact name, then a fuzzy match if given, then the first token of the text that is a symbol."""
     out = exact_name(rows, name, companies).withColumnRenamed("symbol", "__exact")
-    known = companies.select(symbol_base(F.col("symbol")).alias("token"), F.col("symbol").alias("__s")).dropDuplicates(["token"])
+    known = companies.select(symbol_base(F.col("symbol")).alias("token"), F.col("symbol").alias("__s")).groupBy("token").agg(F.min("__s").alias("__s"))
     tokens = rows.select(id_, F.posexplode(ticker_in_text(F.col(text))).alias("pos", "token")).join(small(known), "token").groupBy(id_).agg(F.min_by("__s", "pos").alias("__token"))
     out = out.join(tokens, id_, "left")
     if fuzzy_best is not None:
@@ -76,10 +84,10 @@ def resolve(rows: DataFrame, id_: str, text: str, name: str, companies: DataFram
     else:
         out = out.withColumn("__fuzzy", F.lit(None).cast("string"))
     out = out.withColumn("symbol", F.coalesce("__exact", "__fuzzy", "__token"))
-    names = companies.select("symbol", F.col("company_name").alias("__n")).dropDuplicates(["symbol"])
+    names = companies.groupBy("symbol").agg(F.min("company_name").alias("__n"))
     return out.join(small(names), "symbol", "left").withColumn("display_name", F.coalesce("__n", pretty_company(F.col(name)))).drop("__exact", "__fuzzy", "__token", "__n")
 
 
 def latest_row(rows: DataFrame, key: str, order: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.col(order).desc_nulls_last())
-    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """The last row of each key by `order`, ties by the other columns."""
+    return last_wins(rows, [key], [order, *[c for c in rows.columns if c not in (key, order)]]).select(*rows.columns)

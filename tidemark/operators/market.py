@@ -16,7 +16,7 @@ def market_reference(prices: DataFrame, asof, n: int = 20, key: str = "symbol",
     """`ref_price, ref_type, asof_date, n_days, freshness_days` of each key.
 
     Mean VWAP of the last N days if at least half (and one) have one, else the
-    median close, else the latest close. Freshness counts days up to `asof`.
+    median close. Freshness counts days up to `asof`.
     """
     last = last_n(prices, n, key, order)
     got = last.groupBy(key).agg(
@@ -33,6 +33,19 @@ def market_reference(prices: DataFrame, asof, n: int = 20, key: str = "symbol",
     )
 
 
+def with_latest_close(reference: DataFrame, latest: DataFrame, asof, key: str = "symbol") -> DataFrame:
+    """`market_reference` filled with the latest close (`key, close, date`) of symbols that have no series, or none with a price."""
+    last = latest.where(F.col("close").isNotNull()).groupBy(key).agg(F.max_by(F.struct("close", "date"), F.struct("date", "close")).alias("__l"))
+    both = reference.join(last, key, "full")
+    have = F.col("ref_price").isNotNull()
+    pick = lambda own, other: F.when(have, F.col(own)).otherwise(other).alias(own)
+    day = F.col("__l.date").cast("date")
+    return both.select(
+        key, F.coalesce("ref_price", "__l.close").alias("ref_price"), pick("ref_type", F.when(F.col("__l").isNotNull(), "close")), pick("asof_date", day),
+        pick("n_days", F.when(F.col("__l").isNotNull(), 1).cast("long")), pick("freshness_days", F.abs(F.datediff(F.lit(asof).cast("date"), day))),
+    )
+
+
 def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str) -> DataFrame:
     """Each left row with the latest right `value` at or before its `time`: one union and one window, no range join."""
     both = left.withColumn("__side", F.lit(1)).withColumn(value, F.lit(None).cast(right.schema[value].dataType)).unionByName(right.select(key, time, value).withColumn("__side", F.lit(0)), allowMissingColumns=True)

@@ -90,6 +90,16 @@ def percent_model(rows: DataFrame, tolerance: float = 0.25) -> DataFrame:
     return out.withColumn("discrepancy_pp", gap).withColumn("percent_discrepancy", F.coalesce(gap > tolerance, F.lit(False)))
 
 
+def attach_computed(rows: DataFrame, tx: DataFrame, key: str) -> DataFrame:
+    """Rows with `price, transaction_value, transaction_type` of their transactions' net position, and `amount_transaction`, the change of the holding (X11).
+
+    Rows without transactions get nulls; the amount is null if either holding is.
+    """
+    net = net_position(tx, key).select(key, F.col("net_price").alias("price"), F.col("net_value").cast("double").alias("transaction_value"), F.col("net_type").alias("transaction_type"))
+    kept = [c for c in rows.columns if c not in ("price", "transaction_value", "transaction_type", "amount_transaction")]
+    return rows.select(*kept).join(net, key, "left").withColumn("amount_transaction", F.abs(F.col("holding_before") - F.col("holding_after")))
+
+
 def price_phrase(prices: Column) -> Column:
     """'at X' or 'between X and Y' of an array of prices."""
     lo, hi = F.array_min(prices), F.array_max(prices)

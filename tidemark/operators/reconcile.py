@@ -15,6 +15,17 @@ def _line(cols: list[Column]) -> Column:
     return F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit(_NULL)) for c in cols])
 
 
+def match_key(timestamp: Column, symbol: Column, by_symbol: bool) -> Column:
+    """struct<ts, sym> by which stored and source rows are grouped: the symbol counts only if asked for."""
+    text = lambda c: F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    return F.struct(text(timestamp).alias("ts"), (F.upper(text(symbol)) if by_symbol else F.lit("")).alias("sym"))
+
+
+def json_or_null(x: Column) -> Column:
+    """The text if it is JSON, else null."""
+    return F.when(F.try_parse_json(F.nullif(F.trim(x), F.lit(""))).isNotNull(), x)
+
+
 def cascade_match(old: DataFrame, old_id: str, new: DataFrame, new_id: str, keys: list[list[str]], seq: str) -> DataFrame:
     """`new_id, old_id, key_no` of every new row with the first composite key that hits, the last old row of that key.
 

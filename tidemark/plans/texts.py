@@ -157,15 +157,18 @@ def regex_block_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc.select("l_orderkey", F.posexplode(forms.transaction_lines(F.col("text"))).alias("pos", "t")).select("l_orderkey", F.col("pos").cast("long").alias("pos"), "t.type", "t.amount", "t.price", "t.date")
 
 
-@query()
+@query(f"""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(ORDER)}) - 1 AS pos, CASE l_returnflag WHEN 'R' THEN 'buy' WHEN 'A' THEN 'sell' ELSE 'others' END AS type, CAST(l_quantity AS BIGINT) AS amount, round(l_extendedprice, 2) AS price, strftime(l_shipdate, '%Y-%m-%d') AS date, 'Investasi jangka panjang' AS purpose FROM lineitem""")
 def form_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The new form's text of each filing's first transaction, parsed back; needs a line state machine, so rows only."""
-    row = F.col("r")
-    li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min(F.struct(*ORDER, "l_returnflag")).alias("r"))
-    kind = F.when(row["l_returnflag"] == "R", "Pembelian").when(row["l_returnflag"] == "A", "Penjualan").otherwise("Lainnya")
+    """All transactions of each filing as the new form's text, a header on each of its pages, parsed back."""
+    flag = F.col("l_returnflag")
+    kind = F.when(flag == "R", "Pembelian\nTidak").when(flag == "A", "Penjualan\nYa\nLangsung").otherwise("Pelaksanaan\n(exercise)\nTidak")
     num = lambda c: F.translate(F.format_string("%,.2f", c.cast("double")), ",.", ".,")
-    doc = F.concat_ws("\n", F.lit("Jenis"), F.lit("Transaksi"), kind, F.lit("Tidak"), F.lit("-"), num(row["l_quantity"]), F.lit("Saham "), F.lit("Biasa"), num(row["l_extendedprice"]), F.date_format(row["l_shipdate"], "dd-MMM-"), F.date_format(row["l_shipdate"], "yyyy"), F.lit("Investasi"), F.lit("Saya bertanggung jawab penuh"))
-    return forms.form_transactions(li.select("l_orderkey", doc.alias("text")), "l_orderkey")
+    block = F.concat_ws("\n", kind, F.lit("-"), num(F.col("l_quantity")), F.lit("Saham \nBiasa"), num(F.col("l_extendedprice")), F.date_format("l_shipdate", "dd-MMM-"), F.date_format("l_shipdate", "yyyy"), F.lit("Investasi\njangka panjang"))
+    head = F.lit("Jenis \nTransaksi\nHarga \n(Rp)\nTujuan \nTransaksi")
+    page = F.when(F.col("l_partkey") % 5 == 0, F.concat_ws("\n", head, block)).otherwise(block)
+    doc = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*ORDER, page.alias("page")))).alias("r"))
+    text_ = F.concat_ws("\n", head, F.array_join(F.transform("r", lambda x: x["page"]), "\n"), F.lit("Saya bertanggung jawab penuh\nPenjualan\nTidak"))
+    return forms.form_transactions(doc.select("l_orderkey", text_.alias("text")), "l_orderkey").withColumn("pos", F.col("pos").cast("long"))
 
 
 @query()
