@@ -92,3 +92,14 @@ def test_ties_do_not_decide_by_chance(spark):
 def test_fields_of_a_hash_do_not_run_together(spark):
     h = lambda a, b: one(spark, dedupe.filing_hash([F.lit(a), F.lit(b)], [], F.lit("2024-01-01")))
     assert len({h("a|b", "c"), h("a", "b|c"), h("a\\", "|b"), h("a\\|", "b")}) == 4 and h(" A", "b") == h("a", "B ")
+
+
+def test_size_budget_over_all_rows_is_that_of_one_group(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = spark.createDataFrame([(i, rng.randrange(0, 50), 1) for i in range(400)], "id int, size int, g int").repartition(5)
+    want = sorted(tuple(r) for r in filters.size_budget(rows, "size", 900, "id", ["g"]).collect())
+    got = sorted(tuple(r) for r in filters.size_budget(rows, "size", 900, "id").select("id", "size", "g", "running").collect())
+    assert got == want and 0 < len(got) < 400
+    assert filters.size_budget(rows.limit(0), "size", 900, "id").count() == 0

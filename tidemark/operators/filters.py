@@ -142,8 +142,23 @@ def news_row(rows: DataFrame) -> DataFrame:
 
 
 def size_budget(rows: DataFrame, size: str, budget: int, tie: str, group: list[str] | None = None) -> DataFrame:
-    """Smallest rows first as long as their running sum fits the budget (W8). Sums run within `group`; attachments of one mail are few."""
+    """Smallest rows first as long as their running sum fits the budget (W8), within `group` if given.
+
+    Without a group the sums run over ranges: rows are dealt by size and tie, the
+    ranges' totals (as many as partitions) are summed up first, and each range goes on
+    from what stands before it; no task sees more than its range. Sizes are not negative.
+    """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*(group or [])).orderBy(size, tie).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("running", F.sum(size).over(w)).where(F.col("running") <= budget)
+    if group:
+        w = Window.partitionBy(*group).orderBy(size, tie).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("running", F.sum(size).over(w)).where(F.col("running") <= budget)
+    # as the sum only grows, rows above the budget can't be kept and needn't be dealt
+    dealt = rows.where(F.col(size) <= budget).repartitionByRange(F.col(size), F.col(tie)).withColumn("__part", F.spark_partition_id())
+    dealt = dealt.persist()
+    totals = dealt.groupBy("__part").agg(F.sum(size).alias("__sum"))
+    before = F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("__part", F.coalesce(before, F.lit(0)).alias("__start")).where(F.col("__start") <= budget)
+    w = Window.partitionBy("__part").orderBy(size, tie).rowsBetween(Window.unboundedPreceding, 0)
+    out = dealt.join(F.broadcast(starts), "__part").withColumn("running", F.col("__start") + F.sum(size).over(w))  # one row a partition
+    return out.where(F.col("running") <= budget).drop("__part", "__start")

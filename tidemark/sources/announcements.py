@@ -2,7 +2,8 @@
 
 The page getter is given as `module:function`; it takes (day as YYYYMMDD, page,
 page size) and returns a list of dicts. Without one the source is offline and
-reads JSON files named by day from `path`.
+reads JSON files named by day from `path`, a folder or uri that pyarrow can open
+from every executor.
 """
 
 from __future__ import annotations
@@ -42,8 +43,11 @@ class Reader(DataSourceReader):
         folder = self.options["path"]
 
         def offline(day: str, page: int, size: int) -> list[dict]:
-            with open(f"{folder}/{day}.json", encoding="utf-8") as f:
-                return json.load(f)[page * size : (page + 1) * size]
+            from pyarrow import fs
+
+            store, at = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+            with store.open_input_stream(f"{at}/{day}.json") as f:
+                return json.loads(f.read())[page * size : (page + 1) * size]
 
         return offline
 
