@@ -1,7 +1,7 @@
 """Intermediate tables in the folder that driver and executors share.
 
-`spark.checkpoint.dir` is read from the session; only where it is unset (tests,
-a laptop) is a local folder made and set. A written table cuts lineage, survives
+`spark.checkpoint.dir` is read from the session; only where it is unset and the
+master is local (tests, a laptop) is a local folder made and set. A written table cuts lineage, survives
 a lost executor, and gives the planner true sizes for later joins.
 """
 
@@ -24,6 +24,8 @@ _written: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
