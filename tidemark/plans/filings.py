@@ -73,8 +73,9 @@ def market_reference_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {TX}, m AS (SELECT symbol_id, median(price) AS ref FROM tx GROUP BY symbol_id), f AS (SELECT symbol_id, price / ref AS r FROM tx JOIN m USING (symbol_id))
  SELECT symbol_id, count(*) FILTER (r < 0.6 OR r > 1.4) AS n_market, count(*) FILTER (r BETWEEN 8 AND 15 OR r BETWEEN 80 AND 150) AS n_zero, count(*) AS n FROM f GROUP BY symbol_id""")
 def price_vs_market_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir)
-    ref = tx.groupBy("symbol_id").agg(F.percentile("price", F.lit(0.5)).alias("ref"))
+    tx = transactions(spark, sf_dir, "l_shipdate")
+    prices = tx.select("symbol_id", F.col("l_shipdate").cast("date").alias("date"), F.col("price").alias("close"), F.lit(None).cast("double").alias("vwap"))
+    ref = market.market_reference(prices, ASOF, 1 << 30, "symbol_id").select("symbol_id", F.col("ref_price").alias("ref"))  # the median of all days
     flags = audit.price_flags(F.col("price"), F.lit(None).cast("double"), F.col("ref"))
     return tx.join(ref, "symbol_id").groupBy("symbol_id").agg(F.count_if(flags["price_deviation_vs_market"]).alias("n_market"), F.count_if(flags["possible_zero_missing"]).alias("n_zero"), F.count("*").alias("n"))
 
@@ -99,9 +100,12 @@ def percent_model_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH g AS (SELECT p_partkey, max(CAST(l_shipdate AS DATE)) AS d FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey)
  SELECT p_partkey AS symbol, d AS asof_date, coalesce(abs(date_diff('day', d, DATE '{ASOF}')) > 14, false) AS stale_price, d IS NULL AS missing_price FROM g""")
 def stale_missing_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = read(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max(F.col("l_shipdate").cast("date")).alias("asof_date"))
-    got = read(spark, sf_dir, "part").select("p_partkey").join(last, "p_partkey", "left")
-    return got.select(F.col("p_partkey").alias("symbol"), "asof_date", F.coalesce(F.abs(F.datediff(F.lit(ASOF).cast("date"), "asof_date")) > audit.AuditConfig.stale_days, F.lit(False)).alias("stale_price"), F.col("asof_date").isNull().alias("missing_price"))
+    ref = market.market_reference(_prices(spark, sf_dir), ASOF, 20, "symbol", ("date", *ORDER))
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("symbol")).join(ref, "symbol", "left")
+    one = F.array(F.struct(F.lit("2024-01-02").alias("date"), F.lit("buy").alias("type"), F.lit(1.0).alias("price"), F.lit(1).cast("long").alias("amount")))
+    rows = rows.withColumns({"txs": one, "transaction_type": F.lit("buy"), **{c: F.lit(1) for c in ("amount_transaction", "holding_before", "holding_after", "price", "transaction_value")}})
+    codes = F.transform(audit.row_reasons(brief=True), lambda r: r["code"])
+    return rows.select("symbol", "asof_date", F.array_contains(codes, "stale_price").alias("stale_price"), F.array_contains(codes, "missing_price").alias("missing_price"))
 
 
 def audited(spark: SparkSession, sf_dir: str) -> DataFrame:

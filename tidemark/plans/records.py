@@ -147,11 +147,20 @@ def exact_name_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.exact_name(rows, "name", dim).select("c_custkey", "symbol")
 
 
-@query("""WITH w AS (SELECT page_id, list_distinct(list_filter(regexp_split_to_array(lower(url), '[^a-z0-9]+'), lambda x: x <> '')) AS a FROM pages), v AS (SELECT page_id, list_distinct(['https', 'www', 'example', 'com', 'en']) AS b FROM pages)
- SELECT page_id, round(len(list_intersect(a, b)) / len(list_distinct(a || b)), 9) AS jaccard, len(list_intersect(a, b)) / len(list_distinct(a || b)) < 0.35 AS low FROM w JOIN v USING (page_id)""")
+_SET = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> ''))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_SET.format('text')} AS a FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {_SET.format('text')} AS b FROM benchmark), n AS (SELECT doc_id, item_id FROM (SELECT doc_id, unnest(a) AS w FROM d) JOIN (SELECT item_id, max(x) AS w FROM (SELECT item_id, unnest(b) AS x FROM i) WHERE length(x) >= 4 GROUP BY item_id) USING (w))
+ SELECT doc_id, item_id, round(len(list_intersect(a, b)) / len(list_distinct(a || b)), 9) AS jaccard, len(list_intersect(a, b)) / len(list_distinct(a || b)) < 0.35 AS low FROM n JOIN d USING (doc_id) JOIN i USING (item_id)""")
 def token_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = fuzzy.token_jaccard(F.col("url"), F.lit("https www example com en"))
-    return read(spark, sf_dir, "pages").select("page_id", F.round(j, 9).alias("jaccard"), (j < 0.35).alias("low"))
+    """Documents and benchmark items that share the item's last word in order, if it has four letters: one block an item."""
+    words = lambda c: F.filter(F.array_distinct(F.split(F.lower(c), "[^a-z0-9]+")), lambda w: F.length(w) >= 4)
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("a")).where("a is not null")
+    items = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("b"), F.array_max(words(F.col("text"))).alias("w"))
+    blocks = docs.select("doc_id", F.explode(words(F.col("a"))).alias("w")).join(lookup.small(items.where("w is not null").select("item_id", "w")), "w").select("doc_id", "item_id")
+    j = fuzzy.token_jaccard(F.col("a"), F.col("b"))
+    both = blocks.join(docs, "doc_id").join(lookup.small(items.select("item_id", "b")), "item_id")
+    return both.select("doc_id", "item_id", F.round(j, 9).alias("jaccard"), (j < 0.35).alias("low"))
 
 
 @query("SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-07 12:00:00'")
