@@ -6,7 +6,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
-from tidemark.llm import jaccard_join, licences, lines, shingles
+from tidemark.llm import jaccard_join, licences, lines, repeats, shingles
 
 
 def five_word_groups(rows, percent=80):
@@ -186,3 +186,19 @@ def test_whole_licences_are_found_inside_other_text():
         found = {r[0]: r[1] for r in known.best(grams_of(f"some code before it {changed} and other words behind it"))}
         assert found[name] > 0.9
     assert ("GPL-2.0-text", 1.0) in [r[:2] for r in known.best(grams_of(licences.TEMPLATES["GPL-2.0-text"]))]
+
+
+def test_crowds_of_pieces_are_cut_into_windows(spark, monkeypatch):
+    from test_llm_operators import brute_repeats
+
+    monkeypatch.setattr(repeats, "HOT", 2)
+    monkeypatch.setattr(repeats, "CROWD", 3)
+    called, whole = [], repeats._single_windows
+    monkeypatch.setattr(repeats, "_single_windows", lambda groups: called.append(1) or whole(groups))
+    rng = random.Random(21)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    core, ends = text(194), [text(20) for _ in range(6)]
+    rows = [(i, text(rng.randrange(0, 60)) + rng.choice(ends)[rng.randrange(12) :] + core + rng.choice(ends)[: rng.randrange(12)] + text(rng.randrange(0, 60))) for i in range(40)]
+    rows += [(100, "short"), (101, None), (102, core + core), (103, core * 3 + text(9))]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert called and got == brute_repeats([(i, t or "") for i, t in rows])

@@ -15,8 +15,11 @@ matching statistics of the whole block; windows with a match of LENGTH or more,
 in a segment that occurs twice, are marked.
 
 Anchors, texts and marks meet by shuffles on the anchor and on the document. An
-anchor in more than `HOT` places is refined by what surrounds it, so that no group
-of different segments grows without bound; equal segments are pre-aggregated.
+anchor in more than `HOT` places is refined by what surrounds it, to pieces of at
+most `PIECE` windows; equal segments are pre-aggregated. If more than `CROWD`
+different pieces still share their key, they are refined to single windows: such a
+piece is marked by its count alone, and no task holds a crowd. Segments and windows
+are told apart by 64-bit digests within an anchor, and by 128 bits in a crowd.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ GRAM = 96
 #: Places of an anchor beyond which its segments are cut into pieces of `PIECE` windows, keyed by the bytes that these share.
 HOT = 4096
 PIECE = 16
+#: Different pieces with one key beyond which they are cut into single windows.
+CROWD = 4096
 #: Bytes of distinct segments that one index holds.
 BLOCK = 1 << 20
 _B = U64(0x9E3779B97F4A7C15)
@@ -283,6 +288,26 @@ def _marked(groups: DataFrame) -> DataFrame:
     return groups.mapInArrow(run, "h bigint, d bigint, spans array<struct<lo:int,hi:int>>")
 
 
+def _crowds(seen: DataFrame) -> Table:
+    """`h` of the keys that more than CROWD different segments have."""
+    often = Table(seen.groupBy("h").count().where(F.col("count") > CROWD).select("h"), "often")
+    few = seen.select("h", "d").join(F.broadcast(often.df) if often.small() else often.df, "h", "left_semi").distinct()
+    out = Table(few.groupBy("h").count().where(F.col("count") > CROWD).select("h"), "crowds")
+    often.drop()
+    return out
+
+
+def _single_windows(groups: DataFrame) -> DataFrame:
+    """`_marked` of rows `h, d, c, seg` by single windows: those that start in more than one place, each a span."""
+    window = lambda j: F.substring(F.col("seg"), j + 1, F.lit(LENGTH))
+    places = F.sequence(F.lit(0), F.octet_length("seg") - LENGTH)
+    each = groups.select("h", "d", "c", F.posexplode(F.transform(places, lambda j: F.struct(F.xxhash64(window(j)).alias("a"), F.xxhash64(F.lit(1), window(j)).alias("b")))).alias("j", "w"))
+    often = Table(each.groupBy("w.a", "w.b").agg(F.sum("c").alias("n")).where("n > 1").select("a", "b"), "windows")
+    met = each.join(often.df, (F.col("w.a") == often.df["a"]) & (F.col("w.b") == often.df["b"]), "left_semi")
+    spans = F.transform(F.sort_array(F.collect_set("j")), lambda j: F.struct(j.alias("lo"), (j + 1).alias("hi")))
+    return met.groupBy("h", "d").agg(spans.alias("spans"))
+
+
 def _cut(rows: DataFrame, keep_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -334,12 +359,19 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     per_doc.drop()
     groups = seen.df.groupBy("h", "d").agg(F.count("*").alias("c"), F.first("seg", ignorenulls=True).alias("seg"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marked = Table(_marked(groups.repartition(n, "h").sortWithinPartitions("h")), "marks")
+    crowds = _crowds(seen.df)
+    if crowds.df.isEmpty():
+        marks_of = _marked(groups.repartition(n, "h").sortWithinPartitions("h"))
+    else:
+        crowded = F.broadcast(crowds.df) if crowds.small() else crowds.df
+        marks_of = _marked(groups.join(crowded, "h", "left_anti").repartition(n, "h").sortWithinPartitions("h")).unionByName(_single_windows(groups.join(crowded, "h", "left_semi")))
+    marked = Table(marks_of, "marks")
     spans = seen.df.select("h", "d", "first", "id", "tag").join(marked.df, ["h", "d"]).select("id", "tag", "first", F.explode("spans").alias("s"))
     spans = spans.groupBy(F.col("id").alias("__id"), F.col("tag").alias("__tag")).agg(F.collect_list(F.struct((F.col("s.lo") + F.col("first")).alias("lo"), (F.col("s.hi") + F.col("first")).alias("hi"))).alias("s"))
     spans = Table(spans.select("__id", "__tag", F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi")), "spans")
     seen.drop()
     marked.drop()
+    crowds.drop()
     release(docs.sparkSession)
     result = _cut(src.join(spans.df, same, "left").select(F.col("id").alias("doc_id"), "text", "lo", "hi"), keep_text)
     return result if keep_text else result.drop("kept")
