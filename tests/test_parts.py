@@ -103,3 +103,29 @@ def test_size_budget_over_all_rows_is_that_of_one_group(spark):
     got = sorted(tuple(r) for r in filters.size_budget(rows, "size", 900, "id").select("id", "size", "g", "running").collect())
     assert got == want and 0 < len(got) < 400
     assert filters.size_budget(rows.limit(0), "size", 900, "id").count() == 0
+
+
+def test_symbols_are_resolved_in_order(spark):
+    companies = spark.createDataFrame([("ADRO", "PT Adaro Energy Tbk"), ("ADRO.JK", "PT Adaro Energy Tbk"), ("BBCA.JK", "PT Bank Central Asia Tbk"), ("TLKM.JK", "PT Telkom Indonesia (Persero) Tbk")], "symbol string, company_name string")
+    rows = [
+        (1, "see TLKM", "Bank Central Asia", "ADRO"), (2, "see TLKM", "Bank Central Asia Tbk", "XXXX"), (3, "see TLKM", "Bank Centrall Asia", None),
+        (4, "holder of PT Adaro Energi Tbk, TLKM", "Somebody", None), (5, "ABC then TLKM", None, None), (6, "none", "Nobody At All", None), (7, None, None, None),
+    ]
+    got = {r.id: (r.symbol, r.display_name) for r in lookup.resolve(spark.createDataFrame(rows, "id int, text string, name string, code string"), "id", "text", "name", companies, "code").collect()}
+    assert {i: s for i, (s, _) in got.items()} == {1: "ADRO", 2: "BBCA.JK", 3: "BBCA.JK", 4: "ADRO.JK", 5: "TLKM.JK", 6: None, 7: None}
+    assert got[3][1] == "PT Bank Central Asia Tbk" and got[6][1] == "Nobody At All"
+
+
+def test_uploads_stop_and_alert(spark):
+    from tidemark.sources import writers
+
+    def send(row):
+        if row["symbol"] == "b":
+            raise ValueError("refused")
+
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "symbol string").coalesce(1)
+    assert [(r.ok, r.error) for r in writers.upload(rows, send).collect()] == [(True, None), (False, "refused"), (True, None)]
+    sent = writers.upload(rows, send, stop_on_first_error=True)
+    assert [(r.ok, r.error) for r in sent.collect()] == [(True, None), (False, "refused"), (False, "not sent")]
+    assert [r.message for r in writers.upload_alerts(sent, "filings").collect()] == ["filings: refused", "filings: not sent"]
+    assert writers.is_stale(1, 1, 0, checksum="a", cached_checksum="b") and not writers.is_stale(1, 1, 0)

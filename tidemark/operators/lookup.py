@@ -73,19 +73,40 @@ def ticker_in_text(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"\b([A-Z]{3,4})\b"), F.lit(1))
 
 
-def resolve(rows: DataFrame, id_: str, text: str, name: str, companies: DataFrame, fuzzy_best: DataFrame | None = None) -> DataFrame:
-    """`symbol, display_name` by exact name, then a fuzzy match if given, then the first token of the text that is a symbol."""
-    out = exact_name(rows, name, companies).withColumnRenamed("symbol", "__exact")
-    known = companies.select(symbol_base(F.col("symbol")).alias("token"), F.col("symbol").alias("__s")).groupBy("token").agg(F.min("__s").alias("__s"))
-    tokens = rows.select(id_, F.posexplode(ticker_in_text(F.col(text))).alias("pos", "token")).join(small(known), "token").groupBy(id_).agg(F.min_by("__s", "pos").alias("__token"))
-    out = out.join(tokens, id_, "left")
-    if fuzzy_best is not None:
-        out = out.join(fuzzy_best.select(id_, F.col("symbol").alias("__fuzzy")), id_, "left")
-    else:
-        out = out.withColumn("__fuzzy", F.lit(None).cast("string"))
-    out = out.withColumn("symbol", F.coalesce("__exact", "__fuzzy", "__token"))
+def named_company(text: Column) -> Column:
+    """The first 'PT … Tbk' of a text."""
+    return F.nullif(F.trim(F.regexp_extract(text, r"(PT\.?\s+[A-Z][\w .&,-]{1,80}?\s+Tbk)", 1)), F.lit(""))
+
+
+def resolve(rows: DataFrame, id_: str, text: str, name: str, companies: DataFrame, code: str | None = None, least: float = 85.0) -> DataFrame:
+    """`symbol, display_name` of each row.
+
+    In this order: the document's own `code` if it is a known symbol, the stated
+    name exactly, the nearest name at or above `least`, the first 'PT … Tbk' of the
+    text exactly or nearest, the first three or four capitals of the text that are a
+    known symbol. The base of a symbol is compared; of two spellings the first by
+    order stands for it.
+    """
+    from .fuzzy import best_match
+
+    known = companies.select(symbol_base(F.col("symbol")).alias("token"), "symbol").groupBy("token").agg(F.min("symbol").alias("__s"))
+    own = symbol_base(F.col(code)) if code else F.lit(None).cast("string")
+    src = rows.select(F.col(id_).alias("__id"), F.col(name).alias("__said"), named_company(F.col(text)).alias("__found"), own.alias("token"), F.col(text).alias("__text"))
+    by_code = src.join(small(known), "token").select("__id", F.col("__s").alias("symbol"), F.lit(0).alias("__o"))
+    steps = [by_code]
+    for k, said in enumerate(("__said", "__found")):
+        asked = src.where(F.col(said).isNotNull()).select("__id", F.col(said).alias("said"))
+        steps.append(exact_name(asked, "said", companies).where("symbol is not null").select("__id", "symbol", F.lit(1 + 2 * k).alias("__o")))
+        steps.append(best_match(asked, "__id", "said", companies, "symbol", "company_name", least).select("__id", "symbol", F.lit(2 + 2 * k).alias("__o")))
+    tokens = src.select("__id", F.posexplode(ticker_in_text(F.col("__text"))).alias("pos", "token")).join(small(known), "token")
+    steps.append(tokens.groupBy("__id").agg(F.min_by("__s", "pos").alias("symbol")).select("__id", "symbol", F.lit(5).alias("__o")))
+    every = steps[0]
+    for step in steps[1:]:
+        every = every.unionByName(step)
+    best = every.groupBy("__id").agg(F.min_by("symbol", F.struct("__o", "symbol")).alias("symbol"))
+    out = rows.drop("symbol", "display_name").join(best.withColumnRenamed("__id", id_), id_, "left")
     names = companies.groupBy("symbol").agg(F.min("company_name").alias("__n"))
-    return out.join(small(names), "symbol", "left").withColumn("display_name", F.coalesce("__n", pretty_company(F.col(name)))).drop("__exact", "__fuzzy", "__token", "__n")
+    return out.join(small(names), "symbol", "left").withColumn("display_name", F.coalesce("__n", pretty_company(F.col(name)))).drop("__n")
 
 
 def latest_row(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -29,22 +29,32 @@ def read_bucket(spark: SparkSession, path: str, category: str) -> DataFrame:
     return spark.read.json(path).where(F.col("category") == category)
 
 
-def upload(rows: DataFrame, send: Callable[[dict], None], columns: list[str] | None = None) -> DataFrame:
-    """`ok, error, row` of each row sent by a given function (K3, X42): null fields are left out, a failure stays with its row."""
+def upload(rows: DataFrame, send: Callable[[dict], None], columns: list[str] | None = None, stop_on_first_error: bool = False) -> DataFrame:
+    """`ok, error, row` of each row sent by a given function (K3, X42): null fields are left out, a failure stays with its row.
+
+    With `stop_on_first_error` a task sends nothing after its first failure; the rows
+    that it leaves have the error 'not sent'.
+    """
     out = allowed(rows, columns) if columns else allowed(rows)
     payload = out.select(F.to_json(F.struct("*")).alias("row"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json as j
 
+        failed = False
         for f in frames:
             ok, err = [], []
             for r in f["row"]:
+                if failed and stop_on_first_error:
+                    ok.append(False)
+                    err.append("not sent")
+                    continue
                 try:
                     send(j.loads(r))
                     ok.append(True)
                     err.append(None)
                 except Exception as e:  # noqa: BLE001  collected as the row's result
+                    failed = True
                     ok.append(False)
                     err.append(str(e))
             yield pd.DataFrame({"ok": ok, "error": err, "row": f["row"]})
@@ -64,6 +74,11 @@ def manifest_totals(files: DataFrame) -> DataFrame:
     return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
 
 
-def is_stale(rows: int, cached_rows: int, age_hours: float, most_hours: float = 12.0) -> bool:
-    """A cached dimension is rebuilt if its count differs or it is too old."""
-    return rows != cached_rows or age_hours >= most_hours
+def upload_alerts(sent: DataFrame, table: str) -> DataFrame:
+    """Alerts of the rows of `upload` that weren't taken, with the error as reason."""
+    return sent.where(~F.col("ok")).select(F.lit("upload_failed").alias("code"), F.lit("upload").alias("stage"), F.lit("not_inserted").alias("category"), F.concat(F.lit(f"{table}: "), F.coalesce("error", F.lit("unknown"))).alias("message"), F.lit(True).alias("needs_review"), "row")
+
+
+def is_stale(rows: int, cached_rows: int, age_hours: float, most_hours: float = 12.0, checksum: str | None = None, cached_checksum: str | None = None) -> bool:
+    """A cached dimension is rebuilt if its count or checksum differs or it is too old."""
+    return rows != cached_rows or age_hours >= most_hours or checksum != cached_checksum
