@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shingles import slices
+from .shingles import slices, trim
 
 #: Bytes, about, that the chunks and pieces kept between batches take in each Python worker; a task's end frees them.
 KEPT_BYTES = 128 << 20
@@ -262,6 +262,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], [*names, "n_tokens", "ids_sha256", "decoded_sha256"])
         c.forget()  # Spark keeps the worker for other tasks
+        trim()
 
     return src.mapInArrow(run, schema)
 

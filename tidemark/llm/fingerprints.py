@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Table
-from .shingles import shingle_sets
+from .shingles import shingle_sets, slices, trim
 
 K = 128
 WORDS = 5
@@ -73,7 +73,7 @@ def fingerprint(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     kinds = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = sketch(batch.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array([to_text(s) for s in got], pa.string()), pa.array([distinct(s) for s in got], pa.float64())], [*keep, "fingerprint", "n_distinct"])
 
@@ -91,7 +91,7 @@ def merge_groups(docs: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part: dict = {}
-        for batch in batches:
+        for batch in slices(batches):
             for k, s in zip(batch.column(0).to_pylist(), sketch(batch.column(1).to_pylist()), strict=True):
                 part[k] = merge(part[k], s) if k in part else s
             if len(part) > 20_000:
@@ -202,6 +202,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
                 done = tail
             if rows:
                 yield from _out(rows, nexts)
+            trim()
 
     def _out(rows: list[tuple], nexts: list[str]) -> Iterator[pa.RecordBatch]:
         step = 256

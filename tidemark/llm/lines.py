@@ -238,6 +238,12 @@ def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -
     def compared(line: Column) -> Column:
         return (F.length(line) >= least_chars) | line.rlike(r"\S")
 
+    def rest(lines: Column) -> Column:
+        """What stays of a text's lines: those at kept places, and those that were not compared."""
+        outside = F.filter(F.transform(lines, lambda x, i: F.when(~compared(x), i)), lambda i: i.isNotNull())
+        stay = F.array_sort(F.array_union(outside, F.coalesce("__kept", F.array().cast("array<int>"))))
+        return _let(stay, lambda at: F.struct(F.array_join(F.transform(at, lambda i: F.get(lines, i)), "\n").alias("text"), F.size(lines).cast("long").alias("n"), F.size(at).cast("long").alias("left")))
+
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     base = docs.select(*names).withColumn("__tag", F.shiftright(F.xxhash64("text"), PLACE_BITS))
     place = base.select("doc_id", "__tag", F.posexplode(split_lines(F.col("text"))).alias("p", "line")).where(compared(F.col("line")))
@@ -255,12 +261,7 @@ def dedup(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -
     gone.drop()
     release(spark)
     out = base.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__tag") == F.col("__of")), "left")
-    out = out.withColumn("__lines", split_lines(F.col("text")))
-    every = F.sequence(F.lit(0), F.size("__lines") - 1)
-    outside = F.filter(every, lambda i: ~compared(F.get("__lines", i)))
-    stay = F.array_sort(F.array_union(outside, F.coalesce("__kept", F.array().cast("array<int>"))))
-    out = out.withColumn("__stay", F.when(F.col("text").isNotNull(), stay))
-    text = F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n")
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).cast("long")
-    left = F.when(F.col("text").isNull(), 0).otherwise(F.size("__stay")).cast("long")
-    return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in names], n.alias("n_lines"), (n - left).alias("n_removed"))
+    # one struct a row behind a generator: filters on what it holds would make it again below
+    cut = F.when(F.col("text").isNull(), F.struct(F.lit(None).cast("string").alias("text"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("left"))).otherwise(_let(split_lines(F.col("text")), rest))
+    made = out.select(*[c for c in names if c != "text"], F.explode(F.array(cut)).alias("__r"))
+    return made.select(*[F.col("__r.text").alias("text") if c == "text" else F.col(c) for c in names], F.col("__r.n").alias("n_lines"), (F.col("__r.n") - F.col("__r.left")).alias("n_removed"))

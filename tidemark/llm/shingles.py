@@ -7,9 +7,17 @@ the bytes of one chunk, and one chunk holds whole texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim  # noqa: B018  glibc has it, other libraries may not
+except (OSError, AttributeError):
+    _libc = None
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 19
@@ -58,11 +66,20 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix(h + (ends - starts).astype(U64))
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: Spark keeps its Python workers, and allocators keep what a batch took."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def slices(batches: Iterator, rows: int = 500) -> Iterator:
-    """Arrow batches cut to fewer rows, so that what is made of one at a time stays small."""
+    """Arrow batches cut to fewer rows, so that what is made of one at a time stays small; behind each one memory is given back."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        trim()
 
 
 def chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
