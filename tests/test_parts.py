@@ -129,3 +129,18 @@ def test_uploads_stop_and_alert(spark):
     assert [(r.ok, r.error) for r in sent.collect()] == [(True, None), (False, "refused"), (False, "not sent")]
     assert [r.message for r in writers.upload_alerts(sent, "filings").collect()] == ["filings: refused", "filings: not sent"]
     assert writers.is_stale(1, 1, 0, checksum="a", cached_checksum="b") and not writers.is_stale(1, 1, 0)
+
+
+def test_actions_groups_and_links(spark):
+    from tidemark.operators import articles
+
+    act = lambda code, stage, cat: one(spark, alerts.action(F.lit(code), F.lit(stage), F.lit(cat)))
+    assert act("symbol_missing", "parser", "not_inserted") == alerts.MANUAL and act("symbol_missing", "filings", "not_inserted").startswith("Confirm")
+    assert act("stale_price", "filings", "inserted").startswith("Fetch") and act("other", "filings", "inserted") == alerts.REVIEW
+    tx = lambda kind, why: F.struct(F.lit(kind).alias("type"), F.lit(1.0).alias("price"), F.lit(why).alias("purpose"))
+    got = one(spark, forms.split_groups(F.array(tx("buy", "a"), tx("others", "b"), tx("sell", "c"), tx("koreksi", "d"))))
+    assert (got.others.purpose, [t.type for t in got.others.price_transaction]) == ("b", ["others"])
+    assert (got.trades.purpose, [tuple(t) for t in got.trades.price_transaction]) == ("c", [("buy", 1.0), ("sell", 1.0)])
+    assert one(spark, forms.split_groups(F.array(tx("others", "b")))).trades is None
+    link = lambda a, b: one(spark, articles.document_link(F.lit(a), F.lit(b).cast("string"), F.lit("src")))
+    assert [link("https://x/a.PDF?d=1", "i"), link("https://x/a", "i"), link("a.pdf", None), link("https://x/a", "")] == ["https://x/a.PDF?d=1", "i", "src", "src"]

@@ -39,16 +39,22 @@ CODES = {
 }
 SEVERITIES = ["fatal", "hard", "warning", "soft"]
 
-# What a reader of an alert should do next, by code.
+# What a reader of an alert should do next.
+MANUAL = "Insert manually using the attached link, then re-run."
 ACTIONS = {
-    "download_failed": "retry the download",
-    "symbol_missing": "add the issuer to the company table",
-    "company_resolve_ambiguous": "confirm the issuer",
-    "possible_zero_missing": "check the price against the document",
-    "percent_discrepancy": "check holdings and percents against the document",
-    "stale_price": "refresh the price table",
-    "missing_price": "refresh the price table",
+    "price_deviation_vs_market": "Recalculate price vs reference range, adjust, and re-upload.",
+    "price_deviation_within_doc": "Recalculate price vs reference range, adjust, and re-upload.",
+    "possible_zero_missing": "Recalculate price vs reference range, adjust, and re-upload.",
+    "percent_discrepancy": "Review holdings/percentages; correct and re-upload.",
+    "delta_pp_mismatch": "Review holdings/percentages; correct and re-upload.",
+    "mismatch_transaction_type": "Review holdings/percentages; correct and re-upload.",
+    "symbol_missing": "Confirm correct symbol mapping, then re-run.",
+    "company_resolve_ambiguous": "Confirm correct symbol mapping, then re-run.",
+    "transfer_uid_required": "Pair both sides manually.",
+    "missing_price": "Fetch latest price data and re-run validation.",
+    "stale_price": "Fetch latest price data and re-run validation.",
 }
+REVIEW = "Review and re-run."
 
 
 def codes(spark: SparkSession) -> DataFrame:
@@ -65,9 +71,10 @@ def with_defaults(alerts: DataFrame) -> DataFrame:
     return out.drop("__severity", "__message")
 
 
-def action(code: Column) -> Column:
-    """Suggested action."""
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ACTIONS.items() for x in kv]), code), F.lit("review the document"))
+def action(code: Column, stage: Column, category: Column) -> Column:
+    """Suggested action (L12): documents that failed before they were read are inserted by hand, else it goes by code."""
+    by_code = F.try_element_at(F.create_map(*[F.lit(x) for kv in ACTIONS.items() for x in kv]), code)
+    return F.when((category == "not_inserted") & stage.isin("downloader", "parser"), MANUAL).otherwise(F.coalesce(by_code, F.lit(REVIEW)))
 
 
 def severity_counts(alerts: DataFrame, *by: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import dotted, symbol
+from ..functions.dates import with_z
+from ..functions.text import dotted, is_url, symbol
 from . import tags
 
 # Title form and verb by transaction type.
@@ -63,12 +64,20 @@ def bullets(**facts: Column) -> Column:
     return F.concat_ws("\n", *[F.concat(F.lit(f"- {k}: "), v.cast("string")) for k, v in facts.items()])
 
 
-def articles(filings: DataFrame) -> DataFrame:
-    """Article rows of canonical filings (X17, X18, X22): text by rule, tickers with suffix, sentiment by type; score and symbol are null."""
+def document_link(row: Column, index: Column, source: Column) -> Column:
+    """The row's own link if it is one to a .pdf, else the one under its file name, else the source."""
+    return F.coalesce(F.when(is_url(row) & F.lower(row).rlike(r"\.pdf([?#].*)?$"), row), F.nullif(index, F.lit("")), source)
+
+
+def articles(filings: DataFrame, now: str | None = None) -> DataFrame:
+    """Article rows of canonical filings (X17, X18): text by rule, tickers with suffix, sentiment by type; score and symbol are null.
+
+    A row without a timestamp gets `now`; timestamps without an offset get a 'Z'.
+    """
     before = F.col("holding_before")
     text = rule_based(F.coalesce("holder_name", "holder_type", F.lit("an insider")), F.coalesce("company_name", "symbol"), F.coalesce("symbol", F.lit("")), F.lower(F.coalesce("transaction_type", F.lit("transaction"))), F.col("price"), before, F.col("holding_after"))
     return filings.withColumn("__t", text).select(
-        F.col("__t.title").alias("title"), without_on_date(F.col("__t.body")).alias("body"), "source", "timestamp", "company_name",
+        F.col("__t.title").alias("title"), without_on_date(F.col("__t.body")).alias("body"), "source", with_z(F.coalesce(F.nullif(F.trim(F.col("timestamp").cast("string")), F.lit("")), F.lit(now))).alias("timestamp"), "company_name",
         F.array_distinct(F.array_compact(F.array(symbol(F.col("symbol"))))).alias("tickers"), "sector", F.array_compact(F.array("sub_sector")).alias("sub_sector"),
         tags.record_tags(F.col("tags"), F.col("transaction_type")).alias("tags"), tags.sentiment(F.col("transaction_type")).alias("sentiment"),
         F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("symbol"),

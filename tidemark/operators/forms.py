@@ -173,6 +173,16 @@ def read_form(text: str | None) -> list[dict]:
     return out
 
 
+def split_groups(txs: Column) -> Column:
+    """struct<others, trades> of an array of transactions with a purpose (A20): each group's transactions without it, and its last one; null without any."""
+
+    def group(test) -> Column:
+        some = F.filter(txs, test)
+        return F.when(F.size(some) > 0, F.struct(F.transform(some, lambda t: t.dropFields("purpose")).alias("price_transaction"), F.element_at(some, -1)["purpose"].alias("purpose")))
+
+    return F.struct(group(lambda t: t["type"] == "others").alias("others"), group(lambda t: t["type"].isin("buy", "sell")).alias("trades"))
+
+
 def form_holder(text: Column) -> Column:
     """The holder behind 'Nama (sesuai SID)', words capitalised, PT upper-case."""
     name = F.nullif(F.trim(F.regexp_extract(text, r"(?i)Nama \(sesuai SID\)\s*:\s*([^\n]+)", 1)), F.lit(""))
