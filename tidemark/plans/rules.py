@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, numbers
-from ..operators import alerts, audit, filters, forms, lookup, records, tags
+from ..operators import alerts, articles, audit, filters, forms, lookup, records, tags
 from .tables import read
 
 QUERIES, ORACLE = {}, {}
@@ -134,3 +134,47 @@ def company_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = s.select(F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lower(name), F.lit(".jk"))).otherwise(name).alias("symbol"), F.round("s_acctbal", 2).alias("close"))
     rows = s.select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, name).otherwise(F.concat(name, F.lit(".JK"))).alias("symbol"))
     return lookup.company_join(rows, dim).select("s_suppkey", "symbol", "close")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'https://files.example.org/b' ELSE 'https://example.org/main' END AS url, o_orderkey % 4 = 1 AS mismatch, CASE o_orderkey % 5 WHEN 0 THEN 'Insert manually using the attached link, then re-run.' WHEN 1 THEN 'Fetch latest price data and re-run validation.' WHEN 2 THEN 'Pair both sides manually.' ELSE 'Review and re-run.' END AS action,
+ CASE o_orderkey % 3 WHEN 0 THEN 'https://x.org/a.pdf' WHEN 1 THEN 'https://i.org/a.pdf' ELSE 'source' END AS link FROM orders""")
+def document_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, symbol checks and actions of alerts about documents."""
+    k = F.col("o_orderkey")
+    att = F.array(F.struct(F.lit("A.pdf").alias("filename"), F.lit("").alias("url")), F.struct(F.lit("B.pdf ").alias("filename"), F.lit("https://files.example.org/b").alias("url")))
+    name = F.when(k % 3 == 0, "b.PDF").when(k % 3 == 1, "a.pdf")
+    code = F.when(k % 4 == 0, "abcd").when(k % 4 == 1, "ABCE").when(k % 4 == 2, "none of these")
+    what = F.when(k % 5 == 1, "stale_price").when(k % 5 == 2, "transfer_uid_required").otherwise("symbol_unknown")
+    stage = F.when(k % 5 == 0, "parser").otherwise("filings")
+    own = F.when(k % 3 == 0, "https://x.org/a.pdf").otherwise("https://x.org/page")
+    return read(spark, sf_dir, "orders").select(
+        "o_orderkey", alerts.attachment_link(att, name, F.lit("https://example.org/main")).alias("url"), alerts.symbol_mismatch(F.lit("ABCD.JK"), code).alias("mismatch"),
+        alerts.action(what, stage, F.lit("not_inserted")).alias("action"), articles.document_link(own, F.when(k % 3 == 1, "https://i.org/a.pdf").otherwise(""), F.lit("source")).alias("link"),
+    )
+
+
+@query("""SELECT o_orderkey, [o_custkey + 100, 1500, 2000] AS numbers, CASE o_orderkey % 3 WHEN 0 THEN 2 ELSE 1 END AS n_pairs, CASE o_orderkey % 3 WHEN 0 THEN 10.0 WHEN 1 THEN 3.0 ELSE 1.0 END AS first_price, list_sort(list_distinct(['AA', o_orderstatus, 'S' || (o_custkey % 10)])) AS symbols, '[{"type":"buy","count":' || o_orderkey || '},{"type":"sell","count":2}]' AS counts FROM orders""")
+def article_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a text, prices and amounts of an article by what the row has, merged symbols and a multiset's text."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    say = F.concat(F.lit("sold "), (c + 100).cast("string"), F.lit(" of 99 lots, 1.500 and 2,000"))
+    raw = F.when(k % 3 == 0, F.lit('{"prices":[10,0,20],"amount_transacted":[5,6,7]}'))
+    lists = F.when(k % 3 == 1, F.array(F.lit(3.0), F.lit(4.0))), F.when(k % 3 == 1, F.array(F.lit(9).cast("long")))
+    pairs = arrays.prices_and_amounts(raw, *lists, F.lit(1.0), F.lit(2).cast("long"))
+    one = lambda kind, n: F.struct(F.lit(kind).alias("type"), n.cast("long").alias("count"))
+    symbols = arrays.merged_symbols(F.array(F.lit(" aa"), F.lower("o_orderstatus")), F.array(F.concat(F.lit("s"), (c % 10).cast("string")), F.lit("")))
+    return read(spark, sf_dir, "orders").select("o_orderkey", arrays.first_numbers(say).alias("numbers"), F.size(pairs).alias("n_pairs"), pairs[0]["price"].alias("first_price"), symbols.alias("symbols"), arrays.stable_json(F.array(one("sell", F.lit(2)), one("buy", k))).alias("counts"))
+
+
+@query("""SELECT o_orderkey, 'ABCD.JK' AS symbol, 'Maju ' || o_orderstatus || ' Jaya Tbk' AS company_name, 'Budi PT ' || o_orderstatus AS holder, o_orderkey * 1000 AS holding_before, o_custkey AS holding_after, CAST(o_orderkey % 100 AS DOUBLE) + 0.125 AS share_percentage_before, 'Laporan Kepemilikan Efek' AS title, CASE WHEN o_orderkey % 2 = 0 THEN 'PT Biro' ELSE 'UNKNOWN' END AS reporter FROM orders""")
+def form_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holder, issuer, holdings and voting rights of the form's head, title and registrar of the older one."""
+    k, c, st = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+    dotted = lambda x: F.concat(F.translate(F.format_string("%,d", x), ",", "."), F.lit(",00 Unit"))
+    doc = F.concat_ws(
+        "\n", F.lit("Laporan Kepemilikan Efek"), F.lit("Nama (sesuai SID)"), F.concat(F.lit(": BUDI pt "), st), F.lit("Nama Perusahaan Tbk"), F.concat(F.lit(": ABCD - Maju  "), st, F.lit("\nJaya Tbk, PT")),
+        F.lit("Jumlah Saham Sebelum Transaksi"), F.concat(F.lit(": "), dotted(k * 1000)), F.lit("Hak Suara Sebelum Transaksi"), F.concat(F.lit(": "), (k % 100).cast("string"), F.lit(",1250%")), F.lit("Jumlah Saham Setelah Transaksi"), F.concat(F.lit(": "), dotted(c)), F.when(k % 2 == 0, "BAE : PT Biro"),
+    )
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", doc.alias("text"))
+    issuer, held, head = forms.form_issuer(F.col("text")), forms.form_holdings(F.col("text")), forms.title_and_reporter(F.col("text"))
+    return rows.select("o_orderkey", issuer["symbol"].alias("symbol"), issuer["company_name"].alias("company_name"), forms.form_holder(F.col("text")).alias("holder"), held["holding_before"].alias("holding_before"), held["holding_after"].alias("holding_after"), held["share_percentage_before"].alias("share_percentage_before"), head["title"].alias("title"), head["reporter"].alias("reporter"))
