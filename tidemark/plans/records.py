@@ -154,13 +154,13 @@ _SET = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+')
  SELECT doc_id, item_id, round(len(list_intersect(a, b)) / len(list_distinct(a || b)), 9) AS jaccard, len(list_intersect(a, b)) / len(list_distinct(a || b)) < 0.35 AS low FROM n JOIN d USING (doc_id) JOIN i USING (item_id)""")
 def token_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and benchmark items that share the item's last word in order, if it has four letters: one block an item."""
-    words = lambda c: F.filter(F.array_distinct(F.split(F.lower(c), "[^a-z0-9]+")), lambda w: F.length(w) >= 4)
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("a")).where("a is not null")
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("b"), F.array_max(words(F.col("text"))).alias("w"))
-    blocks = docs.select("doc_id", F.explode(words(F.col("a"))).alias("w")).join(lookup.small(items.where("w is not null").select("item_id", "w")), "w").select("doc_id", "item_id")
-    j = fuzzy.token_jaccard(F.col("a"), F.col("b"))
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", fuzzy.word_set(F.col("text")).alias("a"))
+    long = lambda c: F.filter(c, lambda w: F.length(w) >= 4)
+    items = read(spark, sf_dir, "benchmark").select("item_id", fuzzy.word_set(F.col("text")).alias("b")).withColumn("w", F.array_max(long(F.col("b"))))
+    blocks = docs.select("doc_id", F.explode(long(F.col("a"))).alias("w")).join(lookup.small(items.where("w is not null").select("item_id", "w")), "w").select("doc_id", "item_id")
+    j = fuzzy.set_jaccard(F.col("a"), F.col("b"))
     both = blocks.join(docs, "doc_id").join(lookup.small(items.select("item_id", "b")), "item_id")
-    return both.select("doc_id", "item_id", F.round(j, 9).alias("jaccard"), (j < 0.35).alias("low"))
+    return both.select("doc_id", "item_id", j.alias("j")).select("doc_id", "item_id", F.round("j", 9).alias("jaccard"), (F.col("j") < 0.35).alias("low"))
 
 
 @query("SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-07 12:00:00'")
