@@ -28,22 +28,37 @@ def zip_transactions(dates: Column, types: Column, prices: Column, amounts: Colu
 
 
 def parse_transactions(raw: Column) -> Column:
-    """Transactions of a JSON text in any stored shape (R1-R4, X27): a list of objects, one block of parallel arrays, such a block in a list; null if none fits."""
-    v = F.try_parse_json(raw)
-    shape = F.schema_of_variant(v)
-    path = lambda base, *names: F.coalesce(*[F.try_variant_get(base, f"$.{n}", "array<string>") for n in names])
-    block = F.when(shape.startswith("OBJECT"), v).when(F.try_variant_get(v, "$[0].price", "array<string>").isNotNull(), F.try_variant_get(v, "$[0]", "variant"))
-    single = F.try_variant_get(block, "$.type", "string")
-    prices, amounts = path(block, "price", "prices"), path(block, "amount_transacted", "amount")
-    n = F.greatest(F.coalesce(F.size(prices), F.lit(0)), F.coalesce(F.size(amounts), F.lit(0)))
-    types = F.coalesce(path(block, "type", "types"), F.when(single.isNotNull(), F.array_repeat(single, n)))
-    zipped = F.transform(zip_transactions(path(block, "date", "dates"), types, prices, amounts), lambda t: F.struct(t["date"].alias("date"), t["type"].alias("type"), t["price"].try_cast("double").alias("price"), t["amount"].try_cast("double").try_cast("long").alias("amount")))
+    """Transactions of a JSON text in any stored shape (R1-R4, X27): a list of objects, one block of parallel arrays, such a block in a list; null if none fits.
+
+    The text is parsed once and each array of a block is read once.
+    """
+    return once(F.try_parse_json(raw), lambda v: F.coalesce(once(_block(v), _zipped), F.when(F.schema_of_variant(v).startswith("ARRAY"), _listed(v))))
+
+
+def _block(v: Column) -> Column:
+    """The object of parallel arrays, alone or first in a list; else null."""
+    first = F.when(F.try_variant_get(v, "$[0].price", "array<string>").isNotNull(), F.try_variant_get(v, "$[0]", "variant"))
+    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v).otherwise(first)
+
+
+def _zipped(block: Column) -> Column:
+    path = lambda *names: F.coalesce(*[F.try_variant_get(block, f"$.{n}", "array<string>") for n in names])
+    parts = F.struct(path("date", "dates").alias("dates"), path("type", "types").alias("types"), F.try_variant_get(block, "$.type", "string").alias("single"), path("price", "prices").alias("prices"), path("amount_transacted", "amount").alias("amounts"))
+
+    def zipped(b: Column) -> Column:
+        n = F.greatest(F.coalesce(F.size(b["prices"]), F.lit(0)), F.coalesce(F.size(b["amounts"]), F.lit(0)))
+        types = F.coalesce(b["types"], F.when(b["single"].isNotNull(), F.array_repeat(b["single"], n)))
+        return F.transform(zip_transactions(b["dates"], types, b["prices"], b["amounts"]), lambda t: F.struct(t["date"].alias("date"), t["type"].alias("type"), t["price"].try_cast("double").alias("price"), t["amount"].try_cast("double").try_cast("long").alias("amount")))
+
+    return F.when(block.isNotNull(), once(parts, zipped))
+
+
+def _listed(v: Column) -> Column:
     one = lambda o, *names: F.coalesce(*[F.try_variant_get(o, f"$.{k}", "string") for k in names])
-    listed = F.transform(
+    return F.transform(
         F.try_variant_get(v, "$", "array<variant>"),
         lambda o: F.struct(one(o, "transaction_date", "date").alias("date"), F.coalesce(one(o, "transaction_type", "type"), F.lit("other")).alias("type"), one(o, "transaction_price", "price").try_cast("double").alias("price"), one(o, "transaction_share_amount", "amount_transacted", "amount").try_cast("double").try_cast("long").alias("amount")),
     )
-    return F.when(block.isNotNull(), zipped).when(shape.startswith("ARRAY"), listed)
 
 
 def collapse(txs: Column, date: Column, type_: Column) -> Column:

@@ -60,10 +60,16 @@ def english_purpose(text: Column) -> Column:
 
 def iso_time(x: Column) -> Column:
     """ISO date and time of YYYYMMDD or ISO-like text, a space for T allowed; null if it is neither."""
-    t = F.trim(x)
-    plain = F.when(t.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))).otherwise(F.replace(t, F.lit(" "), F.lit("T")))
-    full = F.when(plain.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(plain, F.lit("T00:00:00"))).when(plain.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$"), F.concat(plain, F.lit(":00"))).otherwise(plain)
-    return F.when(full.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}") & full.try_cast("timestamp_ntz").isNotNull(), full)
+    def plain(t: Column) -> Column:
+        return F.when(t.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))).otherwise(F.replace(t, F.lit(" "), F.lit("T")))
+
+    def full(t: Column) -> Column:
+        return F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00"))).when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$"), F.concat(t, F.lit(":00"))).otherwise(t)
+
+    def valid(t: Column) -> Column:
+        return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}") & t.try_cast("timestamp_ntz").isNotNull(), t)
+
+    return once(once(once(F.trim(x), plain), full), valid)
 
 
 def _listed(v: Column, path: str) -> Column:
