@@ -289,10 +289,10 @@ def _marked(groups: DataFrame) -> DataFrame:
 
 
 def _crowds(seen: DataFrame) -> Table:
-    """`h` of the keys that more than CROWD different segments have."""
+    """`h` of the keys that more than CROWD different segments have; they are told apart only if a key has so many at all."""
     often = Table(seen.groupBy("h").count().where(F.col("count") > CROWD).select("h"), "often")
-    few = seen.select("h", "d").join(F.broadcast(often.df) if often.small() else often.df, "h", "left_semi").distinct()
-    out = Table(few.groupBy("h").count().where(F.col("count") > CROWD).select("h"), "crowds")
+    rows = seen.select("h", "d") if not often.df.isEmpty() else seen.select("h", "d").where("false")
+    out = Table(rows.groupBy("h", "d").agg(F.lit(1).alias("one")).groupBy("h").count().where(F.col("count") > CROWD).select("h"), "crowds")
     often.drop()
     return out
 
