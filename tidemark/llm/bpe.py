@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .shingles import slices, trim
 
 #: Bytes, about, that the chunks and pieces kept between batches take in each Python worker; a task's end frees them.
-KEPT_BYTES = 128 << 20
+KEPT_BYTES = 96 << 20
 #: Characters of the texts that are encoded together.
-GROUP_CHARS = 2 << 20
+GROUP_CHARS = 1 << 20
 #: The split of byte-level BPE with this vocabulary; a fixed value of the format.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
