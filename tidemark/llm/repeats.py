@@ -25,6 +25,7 @@ are told apart by 64-bit digests within an anchor, and by 128 bits in a crowd.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -267,7 +268,12 @@ def _marked(groups: DataFrame) -> DataFrame:
     """`h, d, spans array<struct<lo,hi>>`: marked windows of the distinct segments in rows `h, d, c, seg` sorted by h."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        found = [_runs(f) for f in marks([r[3] for r in rows], [r[2] for r in rows])] if rows else []
+        # equal windows have one key, so a segment that is alone under its key has nothing to be looked up: its count decides
+        of = Counter(r[0] for r in rows)
+        asked = [i for i, r in enumerate(rows) if of[r[0]] > 1]
+        found = [[(0, len(r[3]) - LENGTH + 1)] if r[2] > 1 else [] for r in rows]
+        for i, f in zip(asked, marks([rows[i][3] for i in asked], [rows[i][2] for i in asked]) if asked else [], strict=True):
+            found[i] = _runs(f)
         keep = [(r, f) for r, f in zip(rows, found, strict=True) if f]
         spans = [[{"lo": a, "hi": z} for a, z in f] for _, f in keep]
         kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
